@@ -1,0 +1,96 @@
+"""Corpus counts in a table of fixed size.
+
+A count-min sketch: every key adds to one bucket in each of ``ROWS`` rows and
+its count is the least of them, never too low.  The size is ``ROWS * WIDTH``
+numbers however large the corpus, so it can be broadcast; keys of any number
+are counted, none is dropped.  Lines also carry a 64-bit set of page numbers
+(modulo 64), joined by bitwise or, so that repeated deliveries of one page
+count once.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+ROWS, WIDTH = 2, 1 << 20
+SCHEMA = "bucket int, n long, pages long"
+
+
+def buckets(key: str) -> tuple[int, int]:
+    h = xxhash.xxh3_64_intdigest(key)
+    return h & (WIDTH - 1), WIDTH + ((h >> 32) & (WIDTH - 1))
+
+
+class Sketch:
+    """Read side: ``n`` and ``pages`` are arrays of ROWS * WIDTH."""
+
+    def __init__(self, n: np.ndarray, pages: np.ndarray):
+        self.n, self.pages = n, pages
+
+    def count(self, key: str) -> int:
+        a, b = buckets(key)
+        return int(min(self.n[a], self.n[b]))
+
+    def spread(self, key: str) -> int:
+        """Distinct page numbers, modulo 64, under which the key was seen."""
+        a, b = buckets(key)
+        return (int(self.pages[a]) & int(self.pages[b]) & (2**64 - 1)).bit_count()
+
+
+def _rows(counts: dict[str, list[int]]) -> Iterator[pa.RecordBatch]:
+    """Adds up a partition's keys by bucket."""
+    n = np.zeros(ROWS * WIDTH, np.int64)
+    pages = np.zeros(ROWS * WIDTH, np.uint64)
+    for key, (k, mask) in counts.items():
+        for b in buckets(key):
+            n[b] += k
+            pages[b] |= np.uint64(mask)
+    at = np.flatnonzero(n)
+    for i in range(0, len(at), 1 << 16):
+        part = at[i : i + (1 << 16)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(part.astype(np.int32)),
+                pa.array(n[part]),
+                pa.array(pages[part].view(np.int64)),
+            ],
+            names=["bucket", "n", "pages"],
+        )
+
+
+def build(
+    df: DataFrame,
+    features: Callable[[pa.RecordBatch, dict], None],
+    finish: Callable[[dict], dict[str, list[int]]] = lambda counts: counts,
+) -> Sketch:
+    """Counts the keys that ``features`` adds for each batch, over all rows;
+    ``finish`` may rework a partition's counts before they are added up.
+
+    Each partition adds up its own keys first; what is shuffled and then read
+    by the driver is at most the fixed table itself.
+    """
+
+    def run(batches):
+        counts: dict[str, list[int]] = {}
+        for batch in batches:
+            features(batch, counts)
+        yield from _rows(finish(counts))
+
+    table = (
+        df.mapInArrow(run, SCHEMA)
+        .groupBy("bucket")
+        .agg(F.sum("n").alias("n"), F.expr("bit_or(pages)").alias("pages"))
+        .toArrow()
+    )
+    n = np.zeros(ROWS * WIDTH, np.int64)
+    pages = np.zeros(ROWS * WIDTH, np.int64)
+    at = table.column("bucket").to_numpy()
+    n[at] = table.column("n").to_numpy()
+    pages[at] = table.column("pages").to_numpy()
+    return Sketch(np.minimum(n, 2**31 - 1).astype(np.int32), pages.view(np.uint64))
