@@ -96,7 +96,7 @@ SQL = {
     "p3_found": rf"""
         SELECT chunk_key FROM chunks
         WHERE coalesce(list_sum(list_transform(
-                regexp_extract_all(content, '[A-Za-z0-9_]+'), w -> (length(w) + 3) // 4)), 0)
+                regexp_extract_all(content, '[A-Za-z0-9_]+'), lambda w: (length(w) + 3) // 4)), 0)
             + length(regexp_replace(content, '[A-Za-z0-9_{_WHITE}]', '', 'g')) > 480
     """,
 }

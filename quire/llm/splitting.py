@@ -19,6 +19,7 @@ from bisect import bisect_left, bisect_right
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LIMIT, OVERLAP = 480, 60
 # Unicode White_Space, as text and as a class of Java's regex.
@@ -190,9 +191,9 @@ def split(text: str | None, limit: int = LIMIT, overlap: int = OVERLAP) -> list[
     """
     if not text or not _NOT_WHITE.search(text):
         return []
-    meter = Meter(text)
-    if meter.sums[-1] <= limit:
+    if len(text) <= limit or tokens(text) <= limit:
         return [(0, len(text), 0)]
+    meter = Meter(text)
     overlap = min(overlap, limit // 2)
     out: list[tuple[int, int, int]] = []
     at, end = 0, len(text)
@@ -230,6 +231,7 @@ def split_items(
     if clash:
         raise ValueError(f"rename these columns first: {sorted(clash)}")
     kept = df.select(key, *keep)
+    columns_kept = kept.columns
 
     def run(batches):
         for batch in batches:
@@ -240,16 +242,14 @@ def split_items(
                 for n, (s, e, o) in enumerate(found, 1):
                     at.append(r)
                     rows.append((len(found), n, s, e, o, tokens(x[s:e]), x[s:e]))
-            out = t.select(kept.columns).take(pa.array(at, pa.int64()))
+            out = t.select(columns_kept).take(pa.array(at, pa.int64()))
             columns = list(zip(*rows, strict=True)) or [()] * 7
             types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string())
             for name, values, kind in zip(["pieces", *names[:-1]], columns, types, strict=True):
                 out = out.append_column(name, pa.array(values, kind))
             yield from out.to_batches()
 
-    schema = kept.schema
-    for name, kind in [("pieces", "int")] + [tuple(f.strip().split()) for f in PIECES.split(",")]:
-        schema = schema.add(name, kind)
+    schema = T.StructType(kept.schema.fields + T.StructType.fromDDL("pieces int, " + PIECES).fields)
     return df.select(key, *keep, F.col(text).alias("text_of_item_")).mapInArrow(run, schema)
 
 
