@@ -31,14 +31,14 @@ from pyspark.sql import DataFrame
 from . import furniture as Fu
 from . import sketch as S
 
-HYPHENS = "-‐‑­‒﹣－¬"
+HYPHENS = "-‐‑\u00ad‒﹣－¬"
 _WORD = re.compile(r"[^\W_]+")
 _LATIN = re.compile(r"[A-Za-zÀ-ɏ0-9Ͱ-ӿ]+")
 _HYPHENATED = re.compile(r"[a-zß-ɏ0-9Ͱ-ӿ]+(?:[-‐][a-zß-ɏ]+)*")
 _HAN_JOIN = re.compile(r"(?<=[぀-鿿])[\s\u00a0\u3000]+(?=[぀-鿿])")
 _HAS_LATIN = re.compile(r"[A-Za-z]")
 _HAN = re.compile(r"[぀-ヿ㐀-鿿]")
-_BLANKS = "   -  　"
+_BLANKS = " \u00a0\u2000-\u200a\u202f\u3000"
 _CUT = re.compile(rf"([^\W_][\w’']*)([{HYPHENS}])\s*$")
 _INNER_HYPHEN = re.compile(r"[^\W\d_]+(?:[-‐‑][^\W\d_]+)+")
 _SPACED = re.compile(rf"[぀-ヿ㐀-鿿][{_BLANKS}][぀-ヿ㐀-鿿][{_BLANKS}][぀-ヿ㐀-鿿]")
@@ -46,7 +46,7 @@ _SPACED_START = re.compile(rf"^\s*[぀-ヿ㐀-鿿][{_BLANKS}][぀-ヿ㐀-鿿]")
 _SPACED_END = re.compile(rf"[぀-ヿ㐀-鿿][{_BLANKS}][぀-ヿ㐀-鿿]\s*$")
 _HAN_BLANK = re.compile(rf"(?<=[぀-ヿ㐀-鿿，。、；！？])[{_BLANKS}](?=[぀-ヿ㐀-鿿，。、；！？])")
 _LOST = re.compile("[�□\x00-\x08\x0b\x0c\x0e-\x1f\x7f]|/G[0-9A-F]{2,}")
-_INVISIBLE = re.compile("[​-‏⁠-⁤﻿͏]")
+_INVISIBLE = re.compile("[\u200b-\u200f\u2060-\u2064\ufeff\u034f]")
 _MIXED = re.compile(r"[^\W\d_][015]+[^\W\d_]|(?<![^\W_])[15][a-zà-ÿ]{3,}|(?<![^\W_])0[a-zà-ÿ]{2,}")
 _ORDINAL = re.compile(r"^\d+(?:st|nd|rd|th|er|ère|re|e|ème)$")
 
@@ -363,7 +363,7 @@ class Reader:
             m = _CUT.search(so_far)
             if m:
                 t = _LATIN.match(line)
-                if t and (m[2] in "­¬" or self.cut(m[1].split("’")[-1], t[0])):
+                if t and (m[2] in "\u00ad¬" or self.cut(m[1].split("’")[-1], t[0])):
                     paragraphs[-1] = so_far[: m.end(1)] + line
                 else:
                     paragraphs[-1] = so_far + line

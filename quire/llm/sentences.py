@@ -55,13 +55,13 @@ CLOSERS = set("”“»」』\"’》)）]］】〕〉")
 HARD = "。｡！？!?।॥"
 _TOKEN = re.compile(r"[“”„«»「」『』\"《》()（）\[\]［］【】〔〕〈〉]|[。｡！？!?।॥．.…]+")
 _THAI = re.compile(r"[฀-๿]")
-_THAI_GAP = re.compile(r"(?<=\S)[    　]+(?=\S)")
+_THAI_GAP = re.compile(r"(?<=\S)[ \u00a0\u2007\u202f\u3000]+(?=\S)")
 _FINAL = re.compile(r"[。｡！？!?।॥…]|[^\s\d.．][.．](?=[\s”\"»)）]|$)|\d[.．]\s*$", re.M)
 _SPACED = re.compile(r"[぀-ヿ㐀-鿿]")
 _WORDY = re.compile(r"[^\W_]")
-_HEADING = re.compile(r"^\s*[#＃]{1,6}[\s　]")
+_HEADING = re.compile(r"^\s*[#＃]{1,6}[\s\u3000]")
 _ITEM = re.compile(
-    r"^\s*(?:[-*+•·‣◦‐‑－＊][\s　]+|[(（][0-9０-９a-zA-Zivx一二三四五六七八九十]{1,4}[)）]\s*|"
+    r"^\s*(?:[-*+•·‣◦‐‑－＊][\s\u3000]+|[(（][0-9０-９a-zA-Zivx一二三四五六七八九十]{1,4}[)）]\s*|"
     r"[0-9０-９]{1,3}(?:[.)）．]\s|、|[)）]\s*)|[a-zA-Z][)）]\s)"
 )
 _TABLE = re.compile(r"^\s*[|｜].*[|｜]\s*$")
@@ -223,7 +223,7 @@ class Automaton:
             end, opened, depth = j, -1, len(self.stack)
             while depth:  # closers that belong to the sentence
                 k = end
-                while k < b and text[k] in "    ":
+                while k < b and text[k] in " \u00a0\u202f\u2007":
                     k += 1
                 if k < b and text[k] == self.stack[depth - 1][0]:
                     depth -= 1
@@ -293,7 +293,7 @@ def _lines_are_units(text: str, spans: list[tuple[int, int]]) -> bool:
     return not (len(widths) >= 3 and min(widths) >= 20 and max(widths) - min(widths) <= 2)
 
 
-_EDGE_SPACE = " \t　 "
+_EDGE_SPACE = " \t\u3000\u00a0"
 
 
 def units(text: str | None, drop: set[int] | None = None, spans=None) -> list[tuple[int, int]]:

@@ -46,9 +46,9 @@ LOOKALIKES = {
     "〜": "~", "～": "~", "∼": "~", "˜": "~", "〈": "〈", "〉": "〉", "⟨": "〈", "⟩": "〉",
 }
 # Blanks of other widths; line and paragraph separators.
-BLANKS = "               　"
-BREAKS = "\x0b\x0c\x1c\x1d\x1e\x85  "
-FILLERS = "͏ᅟᅠ឴឵ㅤﾠ"
+BLANKS = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+BREAKS = "\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+FILLERS = "\u034f\u115f\u1160\u17b4\u17b5\u3164\uffa0"
 _ALIKE = ("<wide>", "<narrow>", "<font>")
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 LIMIT, OVERLAP = 480, 60
 # Unicode White_Space, as text and as a class of Java's regex.
-WHITE = "\t-\r \x85   -     　"
+WHITE = "\t-\r \x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _TOKEN = re.compile(f"[A-Za-z0-9_]+|[^{WHITE}A-Za-z0-9_]")
 _NOT_WHITE = re.compile(f"[^{WHITE}]")
 _RUN = re.compile("[A-Za-z0-9_]+")
@@ -90,12 +90,12 @@ class Meter:
         return len(self.text)
 
 
-_BLANK_LINE = re.compile(r"(?:\r\n|\n|\r)[ \t　]*(?:\r\n|\n|\r)\s*")
+_BLANK_LINE = re.compile(r"(?:\r\n|\n|\r)[ \t\u3000]*(?:\r\n|\n|\r)\s*")
 _LINE = re.compile(r"\r\n|\n|\r")
 _SENTENCE = re.compile(r"(?:[。｡！？!?।॥]+|[^\d\s.][.]+|…+)[”’\"'»」』）)\]]*(?=\s|[^\s.,;:!?。！？”’\"»」』）)])|(?<=[฀-๿]) (?=[฀-๿])")
 _CLAUSE = re.compile(r"[；;：:，,、][”\"»]?\s*|\s[—–-]\s")
 _WORD_GAP = re.compile(r"\s+")
-_HEADING = re.compile(r"^[ \t　]*[#＃]{1,6}[ \t　]", re.M)
+_HEADING = re.compile(r"^[ \t\u3000]*[#＃]{1,6}[ \t\u3000]", re.M)
 
 
 def _cuts(text: str, a: int, b: int, pattern: re.Pattern) -> list[tuple[int, int]]:
