@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .text import CJK
 
 _C = f"[{CJK}]"
-_GAP = r"[ \t\x{3000}]{0,64}"
+_GAP = r"[ \t\x{3000}]{0,16}"
 # ASCII marks and their full-width forms.
 FULL_WIDTH = {",": "，", ".": "。", ";": "；", ":": "：", "?": "？", "!": "！", "(": "（", ")": "）"}
 SUSPECTS = "砚口义巳已目戡仁场习丽宫乾趴讥翻戍芸"
@@ -60,7 +60,7 @@ def count_invisible(c: Column) -> Column:
 
 def rule_a(c: Column) -> Column:
     """Deletes one ASCII space between two Chinese characters."""
-    return F.regexp_replace(c, f"(?<={_C}) (?={_C})", "")
+    return F.regexp_replace(c, f" (?<={_C} )(?={_C})", "")
 
 
 def rule_b(c: Column) -> Column:
@@ -68,7 +68,7 @@ def rule_b(c: Column) -> Column:
     or digit, become full width."""
     for mark, full in FULL_WIDTH.items():
         m = "\\" + mark
-        c = F.regexp_replace(c, f"(?<![A-Za-z0-9])(?:(?<={_C}){m}|{m}(?={_C}))(?![A-Za-z0-9])", full)
+        c = F.regexp_replace(c, f"{m}(?<![A-Za-z0-9]{m})(?:(?<={_C}{m})|(?={_C}))(?![A-Za-z0-9])", full)
     return c
 
 
@@ -83,15 +83,17 @@ def rule_d(c: Column) -> Column:
     return F.regexp_replace(c, r"(?mdU)^\s*(?:第\s*\d+\s*页[\s/上中下]*|-\s*\d+\s*-|\d+/\d+)\s*$", "")
 
 
-# wrong, right, before, after; by the sets that the rule's gate lets through
+# wrong, right, set before, what follows; by the sets that the rule's gate lets
+# through.  The character itself comes first in each pattern, so that the
+# look-behind runs only where it stands.
 MISREAD = (
-    ("羲", "是", f"(?<=[这那就不才会都]{_GAP})", f"(?={_GAP}{_C})"),
-    ("场", "而", f"(?<=[,.;:?!，。；：？！以及反而或并因]{_GAP})", f"(?={_GAP}[是且])"),
-    ("口", "们", f"(?<=[我你他她它]{_GAP})", ""),
+    ("羲", "是", "[这那就不才会都]", f"(?={_GAP}{_C})"),
+    ("场", "而", "[,.;:?!，。；：？！以及反而或并因]", f"(?={_GAP}[是且])"),
+    ("口", "们", "[我你他她它]", ""),
     ("目", "自", "", f"(?={_GAP}己)"),
-    ("习", "则", f"(?<={_C}{_GAP})", f"(?={_GAP}是)"),
-    ("习", "则", f"(?<=习{_GAP})", f"(?={_GAP}[的是在来去])"),
-    ("翻", "需", f"(?<=[还只]{_GAP})", f"(?={_GAP}{_C})"),
+    ("习", "则", _C, f"(?={_GAP}是)"),
+    ("习", "则", "习", f"(?={_GAP}[的是在来去])"),
+    ("翻", "需", "[还只]", f"(?={_GAP}{_C})"),
 )
 
 
@@ -99,7 +101,8 @@ def rule_e(c: Column, wrong: str | None = None) -> Column:
     """Undoes certain confusions of characters, all or one of them."""
     for w, right, before, after in MISREAD:
         if wrong in (None, w):
-            c = F.regexp_replace(c, before + w + after, right)
+            behind = f"(?<={before}{_GAP}{w})" if before else ""
+            c = F.regexp_replace(c, w + behind + after, right)
     return c
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import spread
 
 
 def match_sources(documents: DataFrame, sources: DataFrame) -> DataFrame:
@@ -50,7 +51,7 @@ def similarity(pairs: DataFrame, key: str, left: str, right: str, size: int = 3)
     counted in one shuffle by (key, gram), and equal or empty pairs make none.
     """
     a, b = X.clean(F.coalesce(left, F.lit(""))), X.clean(F.coalesce(right, F.lit("")))
-    base = pairs.select(key, a.alias("a"), b.alias("b"))
+    base = spread(pairs.select(key, left, right)).select(key, a.alias("a"), b.alias("b"))
     easy = F.when(F.col("a") == F.col("b"), 1.0).when(F.least(F.length("a"), F.length("b")) < size, 0.0)
     base = base.withColumn("easy", easy)
     hard = base.where("easy IS NULL")

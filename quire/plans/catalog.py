@@ -382,7 +382,7 @@ _D = (
 )
 _rule("rewrite_d", R.rule_d, _D)
 _SUB = ("是而们自则需", "羲场口目习翻")
-_G = "[ \\t\\x{3000}]{0,64}"
+_G = "[ \\t\\x{3000}]{0,16}"
 _E = f"translate(c, '{_SUB[0]}', '{_SUB[1]}')"
 for _w, _y, _a, _b in (
     ("羲", "是", "[这那就不才会都]", S.CJK), ("场", "而", "[,.;:?!，。；：？！以及反而或并因]", "[是且]"), ("口", "们", "[我你他她它]", ""),

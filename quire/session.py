@@ -30,6 +30,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A plain scan over as many partitions as there are cores.
+
+    Small tables often lie in one file with one row group, which is one task.
+    A scan that already has half as many partitions as there are cores, as any
+    large one has, stays as it is and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() * 2 > cores else df.repartition(cores)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster; a local one only where none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
