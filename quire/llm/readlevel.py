@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .leakage import forms
 
 LEVELS = 5
@@ -316,8 +317,7 @@ def fit(
         yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
 
     rows = (
-        documents.select(F.col(doc_id).alias(doc_id), F.col(text).alias("t"))
-        .where("t IS NOT NULL")
+        spread(documents.select(F.col(doc_id).alias(doc_id), F.col(text).alias("t")).where("t IS NOT NULL"))
         .join(F.broadcast(gold), doc_id)
         .select("t", "level")
         .mapInArrow(run, "key long, n long")
@@ -383,7 +383,7 @@ def reading_levels(
             yield score(model, probes, ids, texts)
 
     return (
-        documents.select(F.col(doc_id).cast("long").alias("k"), F.col(text).alias("t"))
-        .where("t IS NOT NULL AND t <> ''")
-        .mapInArrow(run, "doc_id long, lang string, level int, margin double")
+        spread(
+            documents.select(F.col(doc_id).cast("long").alias("k"), F.col(text).alias("t")).where("t IS NOT NULL AND t <> ''")
+        ).mapInArrow(run, "doc_id long, lang string, level int, margin double")
     )

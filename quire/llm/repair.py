@@ -28,6 +28,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..session import spread
 from . import furniture as Fu
 from . import sketch as S
 
@@ -416,7 +417,7 @@ def line_faults(pages: DataFrame, sketch: S.Sketch | None = None) -> DataFrame:
                 names=["page_key", "field", "line_no", "kind"],
             )
 
-    return pages.select("page_key", "book_id", "page", *FIELDS).mapInArrow(
+    return spread(pages.select("page_key", "book_id", "page", *FIELDS)).mapInArrow(
         run, "page_key long, field string, line_no long, kind string"
     )
 
@@ -440,6 +441,6 @@ def repaired_pages(pages: DataFrame, sketch: S.Sketch | None = None) -> DataFram
                 )
             yield pa.RecordBatch.from_arrays(out, names=["page_key", *FIELDS])
 
-    return pages.select("page_key", "book_id", "page", *FIELDS).mapInArrow(
+    return spread(pages.select("page_key", "book_id", "page", *FIELDS)).mapInArrow(
         run, "page_key long, text_layer string, native_text string"
     )

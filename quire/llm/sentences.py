@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from . import furniture as Fu
 from . import sketch as S
 
@@ -428,7 +429,7 @@ def sentence_units(
             )
 
     return (
-        df.select(*columns)
+        spread(df.select(*columns))
         .mapInArrow(run, "unit_key long, unit_no int, start_char long, end_char long")
         .select(F.lit(field).alias("field"), "*")
     )

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 # Letters of other scripts that look like Latin ones.
 LOOKALIKES = {
     # Cyrillic
@@ -149,7 +150,7 @@ def with_skeleton(df: DataFrame, text: str, into: str = "skeleton") -> DataFrame
             yield from t.select(kept).append_column(into, out).to_batches()
 
     schema = df.select(*kept).schema.add(into, "string")
-    return df.select(*kept, F.col(text).alias("skeleton_of_")).mapInArrow(run, schema)
+    return spread(df.select(*kept, F.col(text).alias("skeleton_of_"))).mapInArrow(run, schema)
 
 
 def _hashed(df: DataFrame, key: str, text: str, field: str) -> DataFrame:
@@ -175,7 +176,7 @@ def _hashed(df: DataFrame, key: str, text: str, field: str) -> DataFrame:
             )
 
     return (
-        df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
+        spread(df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")))
         .mapInArrow(run, "key long, skeleton binary, raw binary")
         .select(F.lit(field).alias("field"), "*")
     )

@@ -18,6 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 ROWS, WIDTH = 2, 1 << 20
 SCHEMA = "bucket int, n long, pages long"
 
@@ -83,7 +85,7 @@ def build(
         yield from _rows(finish(counts))
 
     table = (
-        df.mapInArrow(run, SCHEMA)
+        spread(df).mapInArrow(run, SCHEMA)
         .groupBy("bucket")
         .agg(F.sum("n").alias("n"), F.expr("bit_or(pages)").alias("pages"))
         .toArrow()

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import spread
 LIMIT, OVERLAP = 480, 60
 # Unicode White_Space, as text and as a class of Java's regex.
 WHITE = "\t-\r \x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -250,7 +251,7 @@ def split_items(
             yield from out.to_batches()
 
     schema = T.StructType(kept.schema.fields + T.StructType.fromDDL("pieces int, " + PIECES).fields)
-    return df.select(key, *keep, F.col(text).alias("text_of_item_")).mapInArrow(run, schema)
+    return spread(df.select(key, *keep, F.col(text).alias("text_of_item_"))).mapInArrow(run, schema)
 
 
 def oversized(df: DataFrame, key: str, text: str, limit: int = LIMIT) -> DataFrame:
