@@ -134,8 +134,8 @@ def _ends_at_stop(text: str, i: int, j: int, start: int, end: int, nxt: str, gap
         return not nxt.isdigit()
     if "฀" <= before <= "๿":
         return False
-    if before.isalpha() and before.isupper() and (i - 2 < start or not text[i - 2].isalnum()):
-        return False  # an initial
+    if before.isalpha() and before < "\u0250" and (i - 2 < start or not text[i - 2].isalnum()):
+        return False  # an initial, or one letter of an abbreviation
     return True
 
 
@@ -201,12 +201,14 @@ class Automaton:
         for i, j in marks:
             if i < at:
                 continue
+            c = text[i]
             if self.start < 0:
                 s = at
-                while s < i and text[s].isspace():
+                while s < j and text[s].isspace():
                     s += 1
+                if s == j:
+                    continue
                 self.start = s
-            c = text[i]
             if c.isspace():
                 if not self.stack and self._thai_end(self.start, i, j, b):
                     self.emit(i)

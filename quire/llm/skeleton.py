@@ -123,6 +123,7 @@ def skeleton(text: str | None) -> str | None:
         p = TABLE[ord(c)]
         if p != ord(c):
             text = text.replace(c, p)
+            marked = marked or p in "\u3099\u309a" and p != ""
     return unicodedata.normalize("NFC", text) if marked else text
 
 
