@@ -75,12 +75,16 @@ def line_key(line: str) -> str:
     return line.translate(_FOLD).replace("rn", "m").replace("ll", "n")
 
 
+# numbers with a part, and what is left of a measure at a wrapped line's end
+_MEASURE = re.compile(r"^\s*\d+[.,]\d|\d[.,]\d+\s*(?:%|เปอร์เซ็นต์|パーセント|Prozent|points?\b)|^\s*(?:เปอร์เซ็นต์|ชิ้น|อัน|ฯลฯ)\s*$")
 _DASH = re.compile(r"\s[—–―-]\s")
 
 
 def keys_of(line: str) -> list[str]:
     """Keys under which a line may be running: the whole, and what stands
     before a dash (book title before the chapter's)."""
+    if _MEASURE.search(line):
+        return []
     whole = line_key(line)
     if len(whole) < 3:
         return []
@@ -174,19 +178,27 @@ _OUTER = re.compile(r"^\s*([0-9０-９lO]{1,4}(?=\s))?.*?((?<=\s)[0-9０-９lO]{
 def count_edges(book: str | None, page: int | None, text: str, counts: dict) -> None:
     """Adds the edge lines of one page to the corpus counts.
 
-    "L": the key within its book; "H": the key, of whatever book, where the
-    line carries the page's number.
+    "L": the key within its book, at an edge or as a short line without marks
+    inside; "H": the key, of whatever book, where the line carries the page's
+    number.
     """
     lines = [s for s in BREAK.split(text) if s and not s.isspace()]
     mask = 1 << ((page or 0) % 64)
     prefix = f"L|{book}|"
-    edge = lines if len(lines) <= 4 else lines[:2] + lines[-2:]
-    for s in edge:
-        if len(s) <= LONGEST and not _INNER.search(s) and _LETTERS.search(s):
-            numbered = _numbered(s, page)
-            for k in keys_of(s):
-                for key in (prefix + k, "H|" + k) if numbered else (prefix + k,):
-                    c = counts.setdefault(key, [0, 0])
+    last = len(lines) - 1
+    width = 0.8 * max(map(len, lines)) if last > 3 else 0
+    for n, s in enumerate(lines):
+        size = len(s)
+        inside = 1 < n < last - 1
+        if size > LONGEST or inside and (size > width or size > 48) or _INNER.search(s) or not _LETTERS.search(s):
+            continue
+        numbered = not inside and _numbered(s, page)
+        for k in keys_of(s):
+            for key in (prefix + k, "H|" + k) if numbered else (prefix + k,):
+                c = counts.get(key)
+                if c is None:
+                    counts[key] = [1, mask]
+                else:
                     c[0] += 1
                     c[1] |= mask
     c = counts.setdefault(f"P|{book}", [0, 0])
@@ -194,8 +206,24 @@ def count_edges(book: str | None, page: int | None, text: str, counts: dict) ->
     c[1] |= mask
 
 
-_INNER = re.compile(r"[!?。！？।，；、：]|[.,;:](?:\s*$)|[,;]\s")  # marks of running text
-_LETTERS = re.compile(r"[^\W\d_]{2}|[^\W\d_] [^\W\d_] ")
+def promote(counts: dict) -> dict:
+    """Adds to "H" the keys that are running lines of a book within one
+    partition: such a line is known when it strays into another book."""
+    found = []
+    for key, (n, mask) in counts.items():
+        if n >= 4 and key.startswith("L|") and mask.bit_count() >= 4:
+            _, book, k = key.split("|", 2)
+            if n >= 0.02 * counts[f"P|{book}"][0]:
+                found.append(("H|" + k, n, mask))
+    for key, n, mask in found:
+        c = counts.setdefault(key, [0, 0])
+        c[0] += n
+        c[1] |= mask
+    return counts
+
+
+_INNER = re.compile(r"[!?。！？।，；、]|[.,;:](?:\s*$)|[,;]\s")  # marks of running text
+_LETTERS = re.compile(r"[^\W\d_]{2}|[^\W\d_]\s[^\W\d_]\s")
 _NUMBERISH = re.compile(r"[0-9０-９]|^\W*[ivxlcIVXLCO〇零一二三四五六七八九十百]+\W*$")
 _THAI = re.compile(r"[\u0e00-\u0e7f]")
 
@@ -229,7 +257,7 @@ class Detector:
         for k in keys_of(line):
             if self._frequent(f"L|{book}|{k}", book or "None"):
                 return True
-            if edge and self._frequent("H|" + k, None):
+            if (edge or len(k) >= 5) and self._frequent("H|" + k, None):
                 return True
         return False
 

@@ -130,7 +130,8 @@ def page_counts(batch: pa.RecordBatch, counts: dict) -> None:
 
 
 def partition_keys(counts: dict) -> dict[str, list[int]]:
-    return counts | keys(counts.pop("", Counter()))
+    words = counts.pop("", Counter())
+    return Fu.promote(counts) | keys(words)
 
 
 def corpus_sketch(pages: DataFrame) -> S.Sketch:

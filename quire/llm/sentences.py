@@ -59,6 +59,8 @@ _THAI = re.compile(r"[฀-๿]")
 _THAI_GAP = re.compile(r"(?<=\S)[ \u00a0\u2007\u202f\u3000]+(?=\S)")
 _FINAL = re.compile(r"[。｡！？!?।॥…]|[^\s\d.．][.．](?=[\s”\"»)）]|$)|\d[.．]\s*$", re.M)
 _SPACED = re.compile(r"[぀-ヿ㐀-鿿]")
+_CHAPTER = re.compile(r"第\S{1,5}[章节回部篇]\s")
+_GAP = re.compile(r"\s+")
 _WORDY = re.compile(r"[^\W_]")
 _HEADING = re.compile(r"^\s*[#＃]{1,6}[\s\u3000]")
 _ITEM = re.compile(
@@ -348,9 +350,10 @@ def units(text: str | None, drop: set[int] | None = None, spans=None) -> list[tu
         elif item:
             out.append((block[0][0], block[-1][1]))
         elif loose and not thai:
-            if len(body) == 1 and _SPACED.search(text, *block[0]):
+            one = len(block) == 1 and (len(body) == 1 or block[0][1] - block[0][0] > 45)
+            if one and _SPACED.search(text, *block[0]) and not _CHAPTER.match(text[block[0][0] : block[0][0] + 8]):
                 at = block[0][0]
-                for m in re.compile(r"\s+").finditer(text, *block[0]):
+                for m in _GAP.finditer(text, *block[0]):
                     out.append((at, m.start()))
                     at = m.end()
                 out.append((at, block[0][1]))
@@ -388,7 +391,7 @@ def page_counts(batch: pa.RecordBatch, counts: dict) -> None:
 
 def page_sketch(pages: DataFrame, fields=("text_layer", "native_text")) -> S.Sketch:
     """Counts of edge lines by book, over all pages."""
-    return S.build(pages.select("book_id", "page", *fields), page_counts)
+    return S.build(pages.select("book_id", "page", *fields), page_counts, Fu.promote)
 
 
 def sentence_units(
