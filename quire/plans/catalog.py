@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions import rewrite as R
 from ..functions import text as X
-from ..operators import audit, compare, ingest, ledger, retrieval, validate
+from ..operators import audit, compare, ingest, ledger, retrieval, review, validate
 from ..session import table
 from ..streaming import events as streams
 from . import sqltext as S
@@ -855,3 +855,85 @@ def size_batches(t):
 def event_windows(t):
     out = streams.windowed_counts(t("events"))
     return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+# -- review ---------------------------------------------------------------------
+@query(f"""WITH f AS (SELECT doc_id, text, status, {S.front('text')} AS fr FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, CASE WHEN fr = '' THEN text ELSE '---' || chr(10) || CASE WHEN regexp_matches(fr, '(?m)^pages:')
+  THEN regexp_replace(fr, '(?m)^pages:.*$', 'pages: ' || coalesce(status, ''), 'g') ELSE fr || chr(10) || 'pages: ' || coalesce(status, '') END
+  || chr(10) || '---' || chr(10) || {S.body('text')} END AS text FROM f""")
+def frontmatter_upsert(t):
+    value = F.coalesce("status", F.lit(""))
+    return t("documents").where("text IS NOT NULL").select("doc_id", review.upsert_front(F.col("text"), "pages", value).alias("text"))
+
+
+@query("""WITH r AS (SELECT path, page, max(native_text) AS r FROM pages WHERE native_text IS NOT NULL GROUP BY ALL)
+SELECT page_key, coalesce(r, text_layer) AS text_layer FROM pages LEFT JOIN r USING (path, page)""")
+def page_splice(t):
+    p = t("pages")
+    new = p.where("native_text IS NOT NULL").select("path", "page", F.col("native_text").alias("replacement"))
+    return review.splice_pages(p.select("page_key", "path", "page", "text_layer"), new, ["path", "page"], "text_layer").select("page_key", "text_layer")
+
+
+@query(None)
+def page_diff(t):
+    return review.unified_diff(t("pages").where("native_text IS NOT NULL"), "page_key", "native_text", "text_layer")
+
+
+@query(f"""WITH m AS (SELECT page_key, string_split(regexp_replace(c, '([。，、；：？！]{{2,}})', chr(1) || '\\1' || chr(2), 'g'), chr(1)) AS s FROM {_PAGES_C}),
+e AS (SELECT page_key, s, unnest(range(2, len(s) + 1)) AS i FROM m)
+SELECT page_key AS key, 'marks' AS rule, 1 + length(array_to_string(s[:i - 1], '')) - length(replace(array_to_string(s[:i - 1], ''), chr(10), '')) AS line, split_part(s[i], chr(2), 1) AS before FROM e""")
+def edit_log(t):
+    return review.edit_log(t("pages").where("text_layer IS NOT NULL"), "page_key", "text_layer", {"marks": "[。，、；：？！]{2,}"})
+
+
+@query("""WITH now AS (SELECT path, max(lower(trim(text_hash))) AS th, max(lower(trim(source_hash))) AS sh FROM documents GROUP BY path),
+p AS (SELECT ledger_id AS review_id, l.path, text_hash, source_hash, status = 'complete' AS approved, book_id AS reviewer, error_message AS replacement, now.path AS known, th, sh FROM scan_ledger l LEFT JOIN now USING (path))
+SELECT review_id, code FROM (SELECT review_id, unnest([CASE WHEN known IS NULL THEN 'unknown_path' END, CASE WHEN lower(trim(text_hash)) IS DISTINCT FROM th THEN 'text_changed' END,
+  CASE WHEN lower(trim(source_hash)) IS DISTINCT FROM sh THEN 'source_changed' END, CASE WHEN NOT coalesce(approved, false) THEN 'not_approved' END,
+  CASE WHEN trim(coalesce(reviewer, '')) = '' THEN 'no_reviewer' END, CASE WHEN trim(coalesce(replacement, '')) = '' THEN 'empty_replacement' END]) AS code FROM p) WHERE code IS NOT NULL""")
+def review_problems(t):
+    plans = t("scan_ledger").select(
+        F.col("ledger_id").alias("review_id"), "path", "text_hash", "source_hash", (F.col("status") == "complete").alias("approved"),
+        F.col("book_id").alias("reviewer"), F.col("error_message").alias("replacement"),
+    )
+    return review.review_problems(plans, t("documents"))
+
+
+@query("""WITH n AS (SELECT path, text_hash, recorded_at AS latest, 0 AS n FROM scan_ledger WHERE status <> 'complete' UNION ALL SELECT path, text_hash, recorded_at, 1 FROM scan_ledger WHERE status = 'complete')
+SELECT path, max(latest) AS latest FROM n GROUP BY path""")
+def insert_or_replace(t):
+    rows = t("scan_ledger").select("path", "text_hash", F.col("recorded_at").alias("latest"), "status")
+    out = review.insert_or_replace(rows.where("status <> 'complete'"), rows.where("status = 'complete'"), ["path"], "latest")
+    return out.select("path", "latest")
+
+
+@query("""SELECT book_id FROM books WHERE status = 'done' UNION ALL SELECT DISTINCT book_id FROM documents WHERE book_id NOT IN (SELECT book_id FROM books WHERE status = 'done')""")
+def insert_or_ignore(t):
+    store = t("books").where("status = 'done'").select("book_id")
+    return review.insert_or_ignore(store, t("documents").where("book_id IS NOT NULL").select("book_id").distinct(), ["book_id"])
+
+
+@query("SELECT doc_id, regexp_replace(replace(replace(path, '文库/', '库/'), '正文', '稿'), '/(\\d)([-_.])', '/0\\1\\2', 'g') AS path FROM documents")
+def rewritten_paths(t):
+    return t("documents").select("doc_id", review.rewritten_path(F.col("path"), {"文库/": "库/", "正文": "稿"}).alias("path"))
+
+
+@query("""SELECT doc_id, starts_with(path, '文库/') AS inside, contains(path, '/文字层/') AS text_layer, path LIKE '%.md' AND NOT contains(path, '..') AS safe FROM documents""")
+def path_guards(t):
+    p = F.col("path")
+    return t("documents").select(
+        "doc_id", p.startswith("文库/").alias("inside"), p.contains("/文字层/").alias("text_layer"), (p.endswith(".md") & ~p.contains("..")).alias("safe")
+    )
+
+
+@query("SELECT book_id, row_number() OVER (ORDER BY lower(title), book_id) AS place FROM books ORDER BY lower(title), book_id LIMIT 50")
+def title_order(t):
+    first = t("books").orderBy(F.lower("title"), "book_id").limit(50)
+    w = Window.orderBy(F.lower("title"), "book_id")  # over 50 rows
+    return first.select("book_id", n(F.row_number().over(w)).alias("place"))
+
+
+@query("""SELECT book_id, substr(sha256('{"p0":"' || book_id || '","p1":' || expected_pages || '}'), 1, 16) AS job FROM books""")
+def job_ids(t):
+    return t("books").select("book_id", review.job_id(F.col("book_id"), F.col("expected_pages")).alias("job"))
