@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..session import spread
 from . import furniture as Fu
 from . import sketch as S
+from .skeleton import TABLE
 
 QUOTE_SPAN = 400
 
@@ -78,7 +79,7 @@ _SAID_BEFORE = re.compile(r"(?:[:：]|(?:说|說|问|問|道|答|喊)[,，])\s*$
 # Thai words that carry a sentence over a blank.
 _TH_ON_AFTER = re.compile(
     r"(?:ที่|สำนัก|ว่า|นาย|นาง|นางสาว|ของ|โดย|และ|แต่|หรือ|ใน|กับ|จาก|เป็น|คือ|ปี|เมื่อ|ตำบล|อำเภอ|จังหวัด|"
-    r"เมือง|หมู่บ้าน|ราว|ประมาณ|เพิ่มขึ้น|ลดลง|ร้อยละ|เล่ม|หน้า|ข้อ|(?<![฀-๿])[ก-ฮ]\.|[,:;(“«])$"
+    r"เมือง|หมู่บ้าน|ราว|ประมาณ|เพิ่มขึ้น|ลดลง|ร้อยละ|เล่ม|หน้า|ข้อ|(?<![฀-๿])[ก-ฮ][.．]|[,:;(“«])$"
 )
 _TH_ON_BEFORE = re.compile(
     r"^(?:[0-9๐-๙]|ฯลฯ|ๆ|แล้ว|และ|แต่|ซึ่ง|ใน|ที่|หรือ|เพราะ|ว่า|เปอร์เซ็นต์|ร้อยละ|ชิ้น|อัน|คน|บาท|ตัว|เล่ม|"
@@ -86,12 +87,26 @@ _TH_ON_BEFORE = re.compile(
 )
 
 
+# Names after which a German ordinal number stands in a date.
+MONTHS = """januar februar märz april mai juni juli august september oktober november dezember
+jahrhundert""".split()
+_DATE = re.compile(r"\s*(" + "|".join(MONTHS) + r")\b", re.I)
+
+
+def _plain(c: str) -> str:
+    """A letter in its ordinary form: wide forms and look-alikes undone."""
+    if c.isascii():
+        return c
+    p = TABLE[ord(c)]
+    return p if isinstance(p, str) and len(p) == 1 else c
+
+
 def _abbreviation(text: str, at: int, start: int) -> str:
     """Kind of the abbreviation that ends before the stop at ``at``, or ""."""
     node, i, found = ABBREVIATIONS, at - 1, ""
     while i >= start:
-        c = text[i].lower()
-        if c == " " and i > start and text[i - 1] == ".":
+        c = _plain(text[i]).lower()
+        if c.isspace() and i > start and text[i - 1] in ".．":
             c = ""  # "z. B." is spelled as "z.B."
         if c:
             node = node.get(c)
@@ -115,9 +130,11 @@ def _ends_at_stop(text: str, i: int, j: int, start: int, end: int, nxt: str, gap
         if not nxt:
             return True
         return gap and (nxt.isupper() or nxt in QUOTES)
-    before = text[i - 1] if i > start else ""
+    before = _plain(text[i - 1]) if i > start else ""
     if not before or before.isspace():
         return False
+    if before.isdigit() and _DATE.match(text, j):
+        return False
     if not nxt:
         return _abbreviation(text, i, start) in ("", "may")
     if before.isdigit() and nxt.isdigit():
@@ -298,7 +315,7 @@ def _lines_are_units(text: str, spans: list[tuple[int, int]]) -> bool:
     return not (len(widths) >= 3 and min(widths) >= 20 and max(widths) - min(widths) <= 2)
 
 
-_EDGE_SPACE = " \t\u3000\u00a0"
+_CLOSING = "。！？!?.:：;；”\"»」』"
 
 
 def units(text: str | None, drop: set[int] | None = None, spans=None) -> list[tuple[int, int]]:
@@ -312,6 +329,7 @@ def units(text: str | None, drop: set[int] | None = None, spans=None) -> list[tu
     spans = Fu.split_lines(text) if spans is None else spans
     thai = bool(_THAI.search(text))
     kept: list[tuple[int, int, str]] = []  # start, end, kind of line
+    numbers: list[int] = []  # lines that begin like a numbered item
     for n, (a, b) in enumerate(spans):
         if drop and n in drop:
             continue
@@ -331,9 +349,18 @@ def units(text: str | None, drop: set[int] | None = None, spans=None) -> list[tu
             continue
         elif not c.isalpha() or (b > a + 1 and text[a + 1] in ")）"):
             kind = "item" if _ITEM.match(text[a : a + 12]) else "text"
+            if kind == "item" and (c.isdigit() or c.isalpha()):
+                if b - a <= 4 and text[a:b].rstrip(".．").isdigit():
+                    kind = "text"  # the rest of a wrapped line
+                else:
+                    numbers.append(len(kept))
         else:
             kind = "text"
         kept.append((a, b, kind))
+    if len(numbers) == 1:  # one alone, inside running text, is wrapped text
+        k = numbers[0]
+        if k and kept[k - 1][2] == "text" and text[kept[k - 1][1] - 1] not in _CLOSING:
+            kept[k] = (*kept[k][:2], "text")
     body = [(a, b) for a, b, k in kept if k == "text"]
     loose = bool(body) and _lines_are_units(text, body)
     out: list[tuple[int, int]] = []
@@ -352,10 +379,14 @@ def units(text: str | None, drop: set[int] | None = None, spans=None) -> list[tu
         elif loose and not thai:
             one = len(block) == 1 and (len(body) == 1 or block[0][1] - block[0][0] > 45)
             if one and _SPACED.search(text, *block[0]) and not _CHAPTER.match(text[block[0][0] : block[0][0] + 8]):
-                at = block[0][0]
-                for m in _GAP.finditer(text, *block[0]):
-                    out.append((at, m.start()))
-                    at = m.end()
+                at, end = block[0]
+                first = at
+                for m in _GAP.finditer(text, at, end):
+                    a, b = m.span()
+                    # blanks beside a single character are spaced letters
+                    if a - 2 >= first and not text[a - 2].isspace() and b + 1 < end and not text[b + 1].isspace():
+                        out.append((at, a))
+                        at = b
                 out.append((at, block[0][1]))
             else:
                 out.extend(s for s in block if _WORDY.search(text, *s))

@@ -25,7 +25,10 @@ def cut(text, drop=None):
         ("他停了一下……又继续写下去。", ["他停了一下……又继续写下去。"]),
         ("涨幅为38.1\n8%，而上一年为4%。", ["涨幅为38.1\n8%，而上一年为4%。"]),
         ("# Title\n\nOne line\nwrapped. Two; three.\n- item one\n- item. two\n| a | b |", ["# Title", "One line\nwrapped.", "Two; three.", "- item one", "- item. two", "| a | b |"]),
-        ("甲乙丙 丁戊己 庚", ["甲乙丙", "丁戊己", "庚"]),
+        ("甲乙丙 丁戊己 庚辛", ["甲乙丙", "丁戊己", "庚辛"]),
+        ("甲乙丙 丁 戊 己庚 辛壬", ["甲乙丙 丁 戊 己庚", "辛壬"]),
+        ("Am 3. Mai kam er. Siehe Nr.\n4. Die Lage ist gut.", ["Am 3. Mai kam er.", "Siehe Nr.\n4.", "Die Lage ist gut."]),
+        ("Ｄｒ． Ｏｔｔ ｇｉｎｇ． Ｅｎｄｅ", ["Ｄｒ． Ｏｔｔ ｇｉｎｇ．", "Ｅｎｄｅ"]),
         ("甲乙\n丙丁", ["甲乙", "丙丁"]),
         ("นาย ก. บันทึกว่า ราคาเพิ่มขึ้น 19.77 เปอร์เซ็นต์ ในปี 450 ครูใหม่ชอบข้าวสาร", ["นาย ก. บันทึกว่า ราคาเพิ่มขึ้น 19.77 เปอร์เซ็นต์ ในปี 450", "ครูใหม่ชอบข้าวสาร"]),
         ("उसने कहा। “अब मत बेचो!” उसने सुरवन में कहा। अंत।", ["उसने कहा।", "“अब मत बेचो!” उसने सुरवन में कहा।", "अंत।"]),
