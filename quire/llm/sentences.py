@@ -359,8 +359,10 @@ def units(text: str | None, drop: set[int] | None = None, spans=None) -> list[tu
         kept.append((a, b, kind))
     if len(numbers) == 1:  # one alone, inside running text, is wrapped text
         k = numbers[0]
-        if k and kept[k - 1][2] == "text" and text[kept[k - 1][1] - 1] not in _CLOSING:
-            kept[k] = (*kept[k][:2], "text")
+        if k and kept[k - 1][2] == "text":
+            a, b, _ = kept[k - 1]
+            if text[b - 1] not in _CLOSING or _abbreviation(text, b - 1, a) in ("number", "never"):
+                kept[k] = (*kept[k][:2], "text")
     body = [(a, b) for a, b, k in kept if k == "text"]
     loose = bool(body) and _lines_are_units(text, body)
     out: list[tuple[int, int]] = []
