@@ -45,6 +45,8 @@ _INNER_HYPHEN = re.compile(r"[^\W\d_]+(?:[-‐‑][^\W\d_]+)+")
 _SPACED = re.compile(rf"[぀-ヿ㐀-鿿][{_BLANKS}][぀-ヿ㐀-鿿][{_BLANKS}][぀-ヿ㐀-鿿]")
 _SPACED_START = re.compile(rf"^\s*[぀-ヿ㐀-鿿][{_BLANKS}][぀-ヿ㐀-鿿]")
 _SPACED_END = re.compile(rf"[぀-ヿ㐀-鿿][{_BLANKS}][぀-ヿ㐀-鿿]\s*$")
+_PAIR = re.compile(rf"(?![章节回部篇页])[぀-ヿ㐀-鿿][{_BLANKS}][぀-ヿ㐀-鿿]")
+_MARK = re.compile("[。，！？；、]")
 _HAN_BLANK = re.compile(rf"(?<=[぀-ヿ㐀-鿿，。、；！？])[{_BLANKS}](?=[぀-ヿ㐀-鿿，。、；！？])")
 _LOST = re.compile("[�□\x00-\x08\x0b\x0c\x0e-\x1f\x7f]|/G[0-9A-F]{2,}")
 _INVISIBLE = re.compile("[\u200b-\u200f\u2060-\u2064\ufeff\u034f]")
@@ -202,7 +204,11 @@ class Reader:
 
     def cut(self, head: str, tail: str) -> bool:
         """Whether head + hyphen + tail is a word cut by a line break."""
-        if not tail or not tail[0].isalpha() or head[-1:].isdigit():
+        if not head or head[-1].isdigit():
+            return False
+        if not tail:  # the page ends here: no word by itself is a cut one
+            return len(head) > 1 and self.sketch.count(head.lower()) < 5
+        if not tail[0].isalpha():
             return False
         if tail[0].isupper() and not head[-1:].isupper():
             return False
@@ -240,8 +246,8 @@ class Reader:
         if _LOST.search(text):
             bad.update(k for k, x in enumerate(raw) if _LOST.search(x))
         if _HAN.search(whole):
-            if _SPACED.search(whole):
-                out += [(body[k] + 1, "spaced_letters") for k in self._spaced(forms)]
+            if _PAIR.search(whole):
+                out += [(body[k] + 1, "spaced_letters") for k in self._spaced(forms, whole)]
             joined = _HAN_JOIN.sub("", whole)
             if any(self.context(*w) for w in _WRONG_CONTEXT.findall(joined)):
                 for k, x in enumerate(forms):
@@ -263,7 +269,13 @@ class Reader:
         out += [(body[k] + 1, "misread") for k in bad]
         return out
 
-    def _spaced(self, forms: list[str]) -> list[int]:
+    def _spaced(self, forms: list[str], whole: str) -> list[int]:
+        """Lines with spaced letters.  Text with marks needs no blanks, so one
+        between two characters is enough there (after a chapter number it is
+        in place); without marks, where blanks part the clauses, a character
+        must stand between two blanks."""
+        if len(_MARK.findall(whole)) * 100 >= len(whole):
+            return [k for k, line in enumerate(forms) if _PAIR.search(line)]
         out, before = [], False
         for k, line in enumerate(forms):
             spaced = bool(_SPACED.search(line))
