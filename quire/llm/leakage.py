@@ -4,10 +4,11 @@ Each shard of the corpus (a stretch of a partition) gets a suffix array: its
 suffixes, at every ``step``-th character, sorted by their first ``depth``
 characters.  Every suffix of every test item is binary-searched in it; equal
 ranges are extended to the longest verbatim match.  A match of at least
-``depth + step - 1`` characters is found wherever it lies.  Matches of one
-document and item that lie on a common course are chained to a passage, over
-which wrong or missing characters leave gaps; the passage counts if it covers
-``share`` of the item.
+``depth + step - 1`` characters is found wherever it lies.  Depth and step go
+by the script of the item, and every document is searched for all items, in
+whatever script it is written itself.  Matches of one document and item that
+lie on a common course are chained to a passage, over which wrong or missing
+characters leave gaps; the passage counts if it covers ``share`` of the item.
 
 Characters are compared in one form: case, width, accents, look-alikes,
 blanks, marks and characters that scanning confuses make no difference.
@@ -267,15 +268,16 @@ def leaked_items(
 
         def run(batches, given=given):
             sides = [Items(*given.value[k], (WIDE, NARROW)[k][0]) for k in (0, 1)]
-            held: list[list] = [[[], [], 0], [[], [], 0]]
-
-            def flush(k: int):
-                ids, texts, _ = held[k]
-                held[k] = [[], [], 0]
-                if ids and len(sides[k].ids):
-                    codes, offsets = encode(texts)
-                    depth, step = (WIDE, NARROW)[k]
-                    rows = list(_search(codes, offsets, np.array(ids), sides[k], depth, step, share))
+            held: list = [[], [], 0]
+
+            def flush():
+                ids, texts = np.array(held[0]), held[1]
+                held[:] = [[], [], 0]
+                if not len(ids):
+                    return
+                codes, offsets = encode(texts)
+                for side, (depth, step) in zip(sides, (WIDE, NARROW), strict=True):
+                    rows = list(_search(codes, offsets, ids, side, depth, step, share)) if len(side.ids) else []
                     if rows:
                         columns = zip(*rows, strict=True)
                         yield pa.RecordBatch.from_arrays(
@@ -285,15 +287,12 @@ def leaked_items(
 
             for batch in batches:
                 for i, t in zip(batch.column("k").to_pylist(), batch.column("t").to_pylist(), strict=True):
-                    k = 0 if is_wide(t) else 1
-                    h = held[k]
-                    h[0].append(i)
-                    h[1].append(t)
-                    h[2] += len(t)
-                    if h[2] >= SHARD:
-                        yield from flush(k)
-            for k in (0, 1):
-                yield from flush(k)
+                    held[0].append(i)
+                    held[1].append(t)
+                    held[2] += len(t)
+                    if held[2] >= SHARD:
+                        yield from flush()
+            yield from flush()
 
         parts.append(source.mapInArrow(run, SCHEMA))
     if not parts:

@@ -35,6 +35,18 @@ def test_leaks(spark):
     assert leakage.leaked_items(d.limit(0), i).count() == 0 and leakage.leaked_items(d, i.limit(0)).count() == 0
 
 
+def test_leaks_in_documents_of_another_script(spark):
+    item, han, thai = passage(1, 60), passage(2, 200, True), "".join(random.Random(3).choice("กขคงจชซดตถทนบปผพฟมยรลวสห") for _ in range(300))
+    docs = [
+        (1, passage(9, 600) + han + passage(10, 600)), (2, passage(11, 1500, True) + item + passage(12, 1500, True)),
+        (3, thai * 3 + han), (4, passage(13, 1500, True) + thai), (5, passage(14, 600)), (6, passage(15, 1500, True)),
+    ]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame([(70, item), (71, han), (72, thai)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in leakage.leaked_items(d, i).collect()}
+    assert found == {(1, 71), (2, 70), (3, 71), (3, 72), (4, 72)}
+
+
 def test_suffix_search_against_brute_force():
     r = random.Random(3)
     a = "".join(r.choice("abc") for _ in range(400))
