@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 import unicodedata
 
-from .sketch import Sketch
+from .counts import Lines
 
 BREAK = re.compile(r"\r\n|\n|\r")
 EDGE = 3  # lines from either end of a page that are counted
@@ -184,7 +184,7 @@ def count_edges(book: str | None, page: int | None, text: str, counts: dict) ->
     """
     lines = [s for s in BREAK.split(text) if s and not s.isspace()]
     mask = 1 << ((page or 0) % 64)
-    prefix = f"L|{book}|"
+    book = str(book)
     last = len(lines) - 1
     width = 0.8 * max(map(len, lines)) if last > 3 else 0
     for n, s in enumerate(lines):
@@ -194,14 +194,14 @@ def count_edges(book: str | None, page: int | None, text: str, counts: dict) ->
             continue
         numbered = not inside and _numbered(s, page)
         for k in keys_of(s):
-            for key in (prefix + k, "H|" + k) if numbered else (prefix + k,):
+            for key in (("L", book, k), ("H", "", k)) if numbered else (("L", book, k),):
                 c = counts.get(key)
                 if c is None:
                     counts[key] = [1, mask]
                 else:
                     c[0] += 1
                     c[1] |= mask
-    c = counts.setdefault(f"P|{book}", [0, 0])
+    c = counts.setdefault(("P", book, ""), [0, 0])
     c[0] += 1
     c[1] |= mask
 
@@ -210,11 +210,9 @@ def promote(counts: dict) -> dict:
     """Adds to "H" the keys that are running lines of a book within one
     partition: such a line is known when it strays into another book."""
     found = []
-    for key, (n, mask) in counts.items():
-        if n >= 4 and key.startswith("L|") and mask.bit_count() >= 4:
-            _, book, k = key.split("|", 2)
-            if n >= 0.02 * counts[f"P|{book}"][0]:
-                found.append(("H|" + k, n, mask))
+    for (kind, book, k), (n, mask) in counts.items():
+        if n >= 4 and kind == "L" and mask.bit_count() >= 4 and n >= 0.02 * counts["P", book, ""][0]:
+            found.append((("H", "", k), n, mask))
     for key, n, mask in found:
         c = counts.setdefault(key, [0, 0])
         c[0] += n
@@ -229,35 +227,18 @@ _THAI = re.compile(r"[\u0e00-\u0e7f]")
 
 
 class Detector:
-    """Decides lines against the corpus counts; remembers keys by book."""
-
-    def __init__(self, sketch: Sketch | None, share: float = 0.02, least: int = 3):
-        self.sketch, self.share, self.least = sketch, share, least
-        self.known: dict[str, bool] = {}
-
-    def _frequent(self, key: str, book: str | None) -> bool:
-        hit = self.known.get(key)
-        if hit is None:
-            n, spread = self.sketch.count(key), self.sketch.spread(key)
-            if book is None:
-                hit = spread >= self.least
-            else:
-                pages = self.sketch.count(f"P|{book}")
-                hit = n >= self.share * pages and (
-                    spread >= self.least or spread >= 2 and n >= 0.15 * pages
-                )
-            if len(self.known) > 500_000:
-                self.known.clear()
-            self.known[key] = hit
-        return hit
+    """Decides lines against the running lines of the corpus."""
+
+    def __init__(self, known: Lines | None):
+        self.known = known
 
     def running(self, book: str | None, line: str, edge: bool) -> bool:
-        if self.sketch is None:
+        if self.known is None:
             return False
         for k in keys_of(line):
-            if self._frequent(f"L|{book}|{k}", book or "None"):
+            if (str(book), k) in self.known.own:
                 return True
-            if (edge or len(k) >= 5) and self._frequent("H|" + k, None):
+            if (edge or len(k) >= 5) and k in self.known.anywhere:
                 return True
         return False
 

@@ -1,9 +1,8 @@
 """Repair of scanned pages: furniture out, words joined, faults listed.
 
-One pass over all pages counts words, character contexts and edge lines in a
-sketch of fixed size (``sketch``); a second pass decides each line against
-these counts.  No row is shuffled, so a book that holds a third of all pages
-is as good as any other.
+Two passes over all pages count words and character contexts, and edge lines,
+exactly (``counts``); a third decides each line against these counts.  No page
+is shuffled, so a book that holds a third of all pages is as good as any other.
 
 * furniture: ``furniture.Detector`` (fuzzy repetition at page edges, page
   numbers, scan marks);
@@ -24,13 +23,14 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ..session import spread
+from . import counts as C
 from . import furniture as Fu
-from . import sketch as S
 
 HYPHENS = "-‐‑\u00ad‒﹣－¬"
 _WORD = re.compile(r"[^\W_]+")
@@ -92,16 +92,12 @@ def vocabulary(text: str, counts: Counter) -> None:
         counts.update(_CONTEXT.findall(_HAN_JOIN.sub("", text)))
 
 
-def keys(counts: Counter) -> dict[str, list[int]]:
-    """Sketch keys: words, "-" + compounds, and contexts with their halves."""
-    out: dict[str, list[int]] = {}
+def keys(counts: Counter) -> dict[str, int]:
+    """Keys: words, "-" + compounds, and contexts with their halves."""
+    out: dict[str, int] = {}
 
     def add(k: str, n: int) -> None:
-        c = out.get(k)
-        if c is None:
-            out[k] = [n, 0]
-        else:
-            c[0] += n
+        out[k] = out.get(k, 0) + n
 
     for w, n in counts.items():
         if w[0] > "\u2fff":
@@ -121,31 +117,39 @@ def keys(counts: Counter) -> dict[str, list[int]]:
 FIELDS = ("text_layer", "native_text")
 
 
-def page_counts(batch: pa.RecordBatch, counts: dict) -> None:
+def page_words(batch: pa.RecordBatch, counts: Counter) -> None:
+    for field in FIELDS:
+        for t in batch.column(field).to_pylist():
+            if t and not t.isspace():
+                vocabulary(t, counts)
+
+
+def page_lines(batch: pa.RecordBatch, counts: dict) -> None:
     book, page = batch.column("book_id").to_pylist(), batch.column("page").to_pylist()
-    words = counts.setdefault("", Counter())
     for field in FIELDS:
         for b, p, t in zip(book, page, batch.column(field).to_pylist(), strict=True):
             if t and not t.isspace():
                 Fu.count_edges(b, p, t, counts)
-                vocabulary(t, words)
 
 
-def partition_keys(counts: dict) -> dict[str, list[int]]:
-    words = counts.pop("", Counter())
-    return Fu.promote(counts) | keys(words)
+class Corpus(NamedTuple):
+    words: C.Words
+    lines: C.Lines
 
 
-def corpus_sketch(pages: DataFrame) -> S.Sketch:
-    """Words, contexts and edge lines of all pages, in a table of fixed size."""
-    return S.build(pages.select("book_id", "page", *FIELDS), page_counts, partition_keys)
+def corpus_counts(pages: DataFrame) -> Corpus:
+    """Words and contexts, and the running lines, of all pages."""
+    return Corpus(
+        C.words(pages.select(*FIELDS), page_words, keys),
+        C.lines(pages.select("book_id", "page", *FIELDS), page_lines, Fu.promote),
+    )
 
 
 class Reader:
     """Decides the lines of pages against the corpus counts."""
 
-    def __init__(self, sketch: S.Sketch):
-        self.sketch, self.detector = sketch, Fu.Detector(sketch)
+    def __init__(self, corpus: Corpus):
+        self.count, self.detector = corpus.words.count, Fu.Detector(corpus.lines)
         self.words: dict[str, str] = {}
         self.contexts: dict[str, str] = {}
 
@@ -159,7 +163,7 @@ class Reader:
         return known
 
     def _undo(self, word: str) -> str:
-        n = self.sketch.count(word)
+        n = self.count(word)
         if n > 2000 or len(word) < 2 or word.isdigit():
             return ""
         best, most = "", max(12, 15 * n)
@@ -168,7 +172,7 @@ class Reader:
             i = word.find(wrong)
             while i >= 0:
                 v = word[:i] + right + word[i + len(wrong) :]
-                if v != word and (k := self.sketch.count(v)) >= most:
+                if v != word and (k := self.count(v)) >= most:
                     best, most = v, k
                 i = word.find(wrong, i + 1)
         return best
@@ -184,7 +188,7 @@ class Reader:
         return known
 
     def _context(self, left: str, c: str, right: str) -> str:
-        count = self.sketch.count
+        count = self.count
         n = count(left + c + right)
         for y in Fu.MISREAD_HAN[c]:
             m = count(left + y + right)
@@ -207,17 +211,17 @@ class Reader:
         if not head or head[-1].isdigit():
             return False
         if not tail:  # the page ends here: no word by itself is a cut one
-            return len(head) > 1 and self.sketch.count(head.lower()) < 5
+            return len(head) > 1 and self.count(head.lower()) < 5
         if not tail[0].isalpha():
             return False
         if tail[0].isupper() and not head[-1:].isupper():
             return False
-        joined = self.sketch.count((head + tail).lower())
-        own = self.sketch.count("-" + (head + "-" + tail).lower())
+        joined = self.count((head + tail).lower())
+        own = self.count("-" + (head + "-" + tail).lower())
         if joined or own:
             return joined >= own
         # neither is known: two words that are each common stay a compound
-        a, b = self.sketch.count(head.lower()), self.sketch.count(tail.lower())
+        a, b = self.count(head.lower()), self.count(tail.lower())
         return not (a >= 20 and b >= 20)
 
     def faults(self, book: str | None, page: int | None, text: str) -> list[tuple[int, str]]:
@@ -338,9 +342,9 @@ class Reader:
                 c, n = m[0], None
                 for y in Fu.MISREAD_HAN[c]:
                     if left and _HAN.match(left):
-                        n, o = self.sketch.count(left + c), self.sketch.count(left + y)
+                        n, o = self.count(left + c), self.count(left + y)
                     elif right and _HAN.match(right):
-                        n, o = self.sketch.count(c + right + "~"), self.sketch.count(y + right + "~")
+                        n, o = self.count(c + right + "~"), self.count(y + right + "~")
                     else:
                         continue
                     if o >= 15 and o >= 12 * n:
@@ -407,10 +411,10 @@ class Reader:
         return right.upper() if w.isupper() else right.capitalize() if w[0].isupper() else right
 
 
-def line_faults(pages: DataFrame, sketch: S.Sketch | None = None) -> DataFrame:
+def line_faults(pages: DataFrame, corpus: Corpus | None = None) -> DataFrame:
     """page_key, field, line_no, kind: one row per fault of a line."""
-    sketch = corpus_sketch(pages) if sketch is None else sketch
-    given = pages.sparkSession.sparkContext.broadcast(sketch)
+    corpus = corpus_counts(pages) if corpus is None else corpus
+    given = pages.sparkSession.sparkContext.broadcast(corpus)
 
     def run(batches):
         reader = Reader(given.value)
@@ -435,10 +439,10 @@ def line_faults(pages: DataFrame, sketch: S.Sketch | None = None) -> DataFrame:
     )
 
 
-def repaired_pages(pages: DataFrame, sketch: S.Sketch | None = None) -> DataFrame:
+def repaired_pages(pages: DataFrame, corpus: Corpus | None = None) -> DataFrame:
     """page_key, text_layer, native_text as continuous paragraphs."""
-    sketch = corpus_sketch(pages) if sketch is None else sketch
-    given = pages.sparkSession.sparkContext.broadcast(sketch)
+    corpus = corpus_counts(pages) if corpus is None else corpus
+    given = pages.sparkSession.sparkContext.broadcast(corpus)
 
     def run(batches):
         reader = Reader(given.value)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..session import spread
 from . import furniture as Fu
-from . import sketch as S
+from . import counts as C
 from .skeleton import TABLE
 
 QUOTE_SPAN = 400
@@ -422,13 +422,13 @@ def page_counts(batch: pa.RecordBatch, counts: dict) -> None:
                     Fu.count_edges(b, p, t, counts)
 
 
-def page_sketch(pages: DataFrame, fields=("text_layer", "native_text")) -> S.Sketch:
-    """Counts of edge lines by book, over all pages."""
-    return S.build(pages.select("book_id", "page", *fields), page_counts, Fu.promote)
+def page_sketch(pages: DataFrame, fields=("text_layer", "native_text")) -> C.Lines:
+    """The running lines of all pages."""
+    return C.lines(pages.select("book_id", "page", *fields), page_counts, Fu.promote)
 
 
 def sentence_units(
-    df: DataFrame, key: str, text: str, field: str, sketch: S.Sketch | None = None
+    df: DataFrame, key: str, text: str, field: str, sketch: C.Lines | None = None
 ) -> DataFrame:
     """One row per unit: field, unit_key, unit_no (from 1), start_char, end_char.
 

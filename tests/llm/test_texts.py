@@ -115,6 +115,16 @@ def test_faults(spark):
     assert not {x for x in got if x[0] == 1 and x[1] in (2, 3)}
 
 
+def test_counts_are_exact_in_a_large_vocabulary(spark):
+    heads, tails = ["market", "garden", "copper", "window", "harbour", "timber"], ["bridge", "village", "lantern", "candle"]
+    common = " ".join(heads + tails) + ".\n"
+    rows = [(n, "b1", n, common + " ".join(str(7_000_000 + 2000 * n + i) for i in range(2000)) + ".", None) for n in range(500)]
+    cuts = [f"The {a}-\n{b} stands." for a in heads for b in tails]  # two common words each, never seen as one
+    rows.append((900, "b1", 900, "\n".join(cuts), None))
+    df = spark.createDataFrame(rows, "page_key long, book_id string, page int, text_layer string, native_text string")
+    assert repair.line_faults(df).where("page_key = 900 AND kind = 'broken_word'").count() == 0
+
+
 def test_repaired(spark):
     got = {r.page_key: r.text_layer for r in repair.repaired_pages(pages(spark)).collect()}
     assert got[5].startswith("The procurement schema keeps the half-full jars in the long-run.")
