@@ -1,8 +1,9 @@
 """Repair of scanned pages: furniture out, words joined, faults listed.
 
 Two passes over all pages count words and character contexts, and edge lines,
-exactly (``counts``); a third decides each line against these counts.  No page
-is shuffled, so a book that holds a third of all pages is as good as any other.
+exactly (``counts``); a third decides each line against these counts.  Pages
+are shuffled by their text alone, for the words, so a book that holds a third
+of all pages is as good as any other.
 
 * furniture: ``furniture.Detector`` (fuzzy repetition at page edges, page
   numbers, scan marks);
@@ -58,6 +59,7 @@ _BOTH = "".join(dict.fromkeys(_WRONG + "".join(Fu.MISREAD_HAN.values())))
 _CONTEXT = re.compile(rf"(?=([぀-ヿ㐀-鿿][{_BOTH}][぀-ヿ㐀-鿿]))")
 _WRONG_AT = re.compile(f"[{_WRONG}]")
 _WRONG_CONTEXT = re.compile(rf"(?=([぀-ヿ㐀-鿿])([{_WRONG}])([぀-ヿ㐀-鿿]))")
+_PIECES = re.compile(rf"([^\W_][\w’']*)[{HYPHENS}](?=[^\S\n]*(?:\n\s*([^\W_]*)|$))")
 _ANY_CUT = re.compile(rf"[{HYPHENS}]\s*$", re.M)
 _TAIL = re.compile(r"([^\W_][\w’']*)()$")
 
@@ -79,15 +81,26 @@ _UNUSUAL = re.compile(
 _LOOKALIKE = str.maketrans("аеорсухіѕјοΑΒΕΗΙΚΜΝΟΡΤΧАВЕКМНОРСТХ", "aeopcyxisjoABEHIKMNOPTXABEKMHOPCTX")
 
 
+def _head(word: str) -> str:
+    return word.split("’")[-1].split("'")[-1]
+
+
 def vocabulary(text: str, counts: Counter) -> None:
     """Adds a text's words and the contexts of confusable characters.
 
     Words keep their inner hyphens here and contexts are three characters;
+    "x-" and "~x" are what stands before and after a hyphen at a line's end.
     ``keys`` parts them later, once for each distinct one.
     """
     text = letters(text)
     if _HAS_LATIN.search(text):
-        counts.update(_HYPHENATED.findall(text.lower()))
+        low = text.lower()
+        counts.update(_HYPHENATED.findall(low))
+        if _ANY_CUT.search(low):
+            for head, tail in _PIECES.findall(low):
+                counts[_head(head) + "-"] += 1
+                if tail:
+                    counts["~" + tail] += 1
     if _HAN.search(text):
         counts.update(_CONTEXT.findall(_HAN_JOIN.sub("", text)))
 
@@ -100,7 +113,9 @@ def keys(counts: Counter) -> dict[str, int]:
         out[k] = out.get(k, 0) + n
 
     for w, n in counts.items():
-        if w[0] > "\u2fff":
+        if w[0] == "~" or w[-1] == "-":
+            add(w, n)
+        elif w[0] > "\u2fff":
             add(w, n)
             add(w[:2], n)
             add(w[1:] + "~", n)
@@ -138,9 +153,13 @@ class Corpus(NamedTuple):
 
 
 def corpus_counts(pages: DataFrame) -> Corpus:
-    """Words and contexts, and the running lines, of all pages."""
+    """Words and contexts, and the running lines, of all pages.
+
+    Words are counted once for each distinct page: repeated deliveries are no
+    further evidence.
+    """
     return Corpus(
-        C.words(pages.select(*FIELDS), page_words, keys),
+        C.words(pages.select(*FIELDS).distinct(), page_words, keys),
         C.lines(pages.select("book_id", "page", *FIELDS), page_lines, Fu.promote),
     )
 
@@ -150,6 +169,7 @@ class Reader:
 
     def __init__(self, corpus: Corpus):
         self.count, self.detector = corpus.words.count, Fu.Detector(corpus.lines)
+        self.highest = int(corpus.words.n.max(initial=0))
         self.words: dict[str, str] = {}
         self.contexts: dict[str, str] = {}
 
@@ -164,9 +184,9 @@ class Reader:
 
     def _undo(self, word: str) -> str:
         n = self.count(word)
-        if n > 2000 or len(word) < 2 or word.isdigit():
-            return ""
         best, most = "", max(12, 15 * n)
+        if most > self.highest or len(word) < 2 or word.isdigit():
+            return ""
         for wrong, right in Fu.MISREAD_LATIN:
             right = right.lower()
             i = word.find(wrong)
@@ -194,12 +214,12 @@ class Reader:
             m = count(left + y + right)
             if m >= 8 and m >= 8 * n:
                 return y
-            if m >= 3 and n <= m and n <= 2:
+            if m >= 3 and n <= m and n <= 2 + m / 3:
                 a, b = count(left + c), count(left + y)
                 d, e = count(c + right + "~"), count(y + right + "~")
                 if b >= 10 * max(a, 1) or e >= 10 * max(d, 1):
                     return y
-            if m < 3 and n <= 2:  # a rare context: both sides by themselves
+            if n <= 2 + m:  # no more usual than the other: both sides by themselves
                 a, b = count(left + c), count(left + y)
                 d, e = count(c + right + "~"), count(y + right + "~")
                 if (b + 1) * (e + 1) >= 400 * (a + 1) * (d + 1) and b > a and e > d:
@@ -211,7 +231,8 @@ class Reader:
         if not head or head[-1].isdigit():
             return False
         if not tail:  # the page ends here: no word by itself is a cut one
-            return len(head) > 1 and self.count(head.lower()) < 5
+            h = head.lower()  # nor is one that mostly stands before a hyphen
+            return len(head) > 1 and self.count(h) < 5 * max(1, self.count(h + "-"))
         if not tail[0].isalpha():
             return False
         if tail[0].isupper() and not head[-1:].isupper():
@@ -220,9 +241,11 @@ class Reader:
         own = self.count("-" + (head + "-" + tail).lower())
         if joined or own:
             return joined >= own
-        # neither is known: two words that are each common stay a compound
-        a, b = self.count(head.lower()), self.count(tail.lower())
-        return not (a >= 20 and b >= 20)
+        # neither is known: two words that are each common, and more so than
+        # as pieces at a line's end, stay a compound
+        h, t = head.lower(), tail.lower()
+        a, b = self.count(h), self.count(t)
+        return not (a >= 15 + 5 * max(1, self.count(h + "-")) and b >= 15 + 5 * max(1, self.count("~" + t)))
 
     def faults(self, book: str | None, page: int | None, text: str) -> list[tuple[int, str]]:
         """(line_no, kind) of one text."""
@@ -300,7 +323,7 @@ class Reader:
         m = _CUT.search(line) or (soft and _TAIL.search(line))
         if not m:
             return None
-        head = m[1].split("’")[-1].split("'")[-1]
+        head = _head(m[1])
         t = _LATIN.match(forms[k + 1].lstrip()) if k + 1 < len(forms) else None
         tail = t[0] if t else ""
         return head if soft and tail or self.cut(head, tail) else None

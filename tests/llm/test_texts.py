@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from quire.llm import repair, skeleton, splitting
+from quire.llm import counts, repair, skeleton, splitting
 
 
 # -- splitting ----------------------------------------------------------------
@@ -125,6 +128,27 @@ def test_counts_are_exact_in_a_large_vocabulary(spark):
     assert repair.line_faults(df).where("page_key = 900 AND kind = 'broken_word'").count() == 0
 
 
+def test_ten_deliveries_are_decided_as_one(spark):
+    one = pages(spark).unionByName(spark.createDataFrame([(40, "b1", 40, "The market stands and the inter-", None)], pages(spark).schema))
+    ten = one.crossJoin(spark.range(10)).withColumn("page_key", F.col("page_key") + 1000 * F.col("id")).drop("id")
+    want = {tuple(r) for r in repair.line_faults(one).collect()}
+    got = {tuple(r) for r in repair.line_faults(ten).collect()}
+    assert (40, "text_layer", 1, "broken_word") in want
+    assert got == {(k + 1000 * n, *rest) for k, *rest in want for n in range(10)}
+
+
+@pytest.mark.parametrize("times", [1, 10, 100])
+def test_bounds_follow_the_corpus(times):
+    seen = {"that": 11349, "tliat": 37, "inter": 3, "inter-": 3, "long": 400, "long-": 2, "边旳灯": 1, "边的灯": 3, "边旳": 1, "边的": 40, "旳灯~": 1, "的灯~": 30}
+    digests = np.array([xxhash.xxh3_64_intdigest(k) for k in seen], np.uint64)
+    order = np.argsort(digests)
+    words = counts.Words(digests[order], np.array(list(seen.values()))[order] * times)
+    reader = repair.Reader(repair.Corpus(words, counts.Lines(set(), set())))
+    assert reader.undo("tliat") == "that" and reader.undo("that") == ""
+    assert reader.context("边", "旳", "灯") == "的"
+    assert reader.cut("inter", "") and not reader.cut("long", "")
+
+
 def test_repaired(spark):
     got = {r.page_key: r.text_layer for r in repair.repaired_pages(pages(spark)).collect()}
     assert got[5].startswith("The procurement schema keeps the half-full jars in the long-run.")
