@@ -69,19 +69,19 @@ class Lines:
 def lines(
     df: DataFrame,
     features: Callable[[pa.RecordBatch, dict], None],
-    finish: Callable[[dict], dict[tuple[str, str, str], list[int]]],
     share: float = 0.02,
     least: int = 3,
 ) -> Lines:
     """Counts the line keys (``furniture.count_edges``) over all rows and keeps
     those that stand on enough pages.  A key seen on one page only is never
-    enough and is not written."""
+    enough and is not written.  A running line that stands on four pages of its
+    book is known when it strays into another book."""
 
     def run(batches):
         counts: dict = {}
         for batch in batches:
             features(batch, counts)
-        found = list(finish(counts).items())
+        found = list(counts.items())
         for i in range(0, len(found), 1 << 16):
             part = found[i : i + (1 << 16)]
             yield pa.RecordBatch.from_arrays(
@@ -100,11 +100,9 @@ def lines(
         .where("kind = 'P' OR spread >= 2")
     )
     books = table.where("kind = 'P'").select("book", F.col("n").alias("total"))
-    own = (
-        table.where("kind = 'L'").join(books, "book")
-        .where((F.col("n") >= share * F.col("total")) & ((F.col("spread") >= least) | (F.col("n") >= 0.15 * F.col("total"))))
-        .select("book", "key")
-    )
-    anywhere = table.where((F.col("kind") == "H") & (F.col("spread") >= least)).select("key")
+    usual = table.where("kind = 'L'").join(books, "book").where(F.col("n") >= share * F.col("total"))
+    own = usual.where((F.col("spread") >= least) | (F.col("n") >= 0.15 * F.col("total"))).select("book", "key")
+    numbered = table.where((F.col("kind") == "H") & (F.col("spread") >= least)).select("key")
+    anywhere = numbered.union(usual.where("n >= 4 AND spread >= 4").select("key")).distinct()
     a, b = own.toArrow(), anywhere.toArrow()
     return Lines(set(zip(a.column("book").to_pylist(), a.column("key").to_pylist(), strict=True)), set(b.column("key").to_pylist()))

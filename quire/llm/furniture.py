@@ -206,20 +206,6 @@ def count_edges(book: str | None, page: int | None, text: str, counts: dict) ->
     c[1] |= mask
 
 
-def promote(counts: dict) -> dict:
-    """Adds to "H" the keys that are running lines of a book within one
-    partition: such a line is known when it strays into another book."""
-    found = []
-    for (kind, book, k), (n, mask) in counts.items():
-        if n >= 4 and kind == "L" and mask.bit_count() >= 4 and n >= 0.02 * counts["P", book, ""][0]:
-            found.append((("H", "", k), n, mask))
-    for key, n, mask in found:
-        c = counts.setdefault(key, [0, 0])
-        c[0] += n
-        c[1] |= mask
-    return counts
-
-
 _INNER = re.compile(r"[!?。！？।，；、]|[.,;:](?:\s*$)|[,;]\s")  # marks of running text
 _LETTERS = re.compile(r"[^\W\d_]{2}|[^\W\d_]\s[^\W\d_]\s")
 _NUMBERISH = re.compile(r"[0-9０-９]|^\W*[ivxlcIVXLCO〇零一二三四五六七八九十百]+\W*$")

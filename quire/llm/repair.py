@@ -160,7 +160,7 @@ def corpus_counts(pages: DataFrame) -> Corpus:
     """
     return Corpus(
         C.words(pages.select(*FIELDS).distinct(), page_words, keys),
-        C.lines(pages.select("book_id", "page", *FIELDS), page_lines, Fu.promote),
+        C.lines(pages.select("book_id", "page", *FIELDS), page_lines),
     )
 
 

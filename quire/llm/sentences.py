@@ -424,7 +424,7 @@ def page_counts(batch: pa.RecordBatch, counts: dict) -> None:
 
 def page_sketch(pages: DataFrame, fields=("text_layer", "native_text")) -> C.Lines:
     """The running lines of all pages."""
-    return C.lines(pages.select("book_id", "page", *fields), page_counts, Fu.promote)
+    return C.lines(pages.select("book_id", "page", *fields), page_counts)
 
 
 def sentence_units(

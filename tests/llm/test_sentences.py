@@ -64,3 +64,11 @@ def test_frame(spark):
     got = S.sentence_units(df, "page_key", "text_layer", "text_layer", sketch).collect()
     assert sorted((r.unit_key or 0, r.unit_no, r.start_char, r.end_char) for r in got) == [(0, 1, 0, 2), (1, 1, 0, 2), (1, 2, 2, 4)]
     assert S.sentence_units(df.limit(0), "page_key", "text_layer", "text_layer", S.page_sketch(df.limit(0), ("text_layer",))).count() == 0
+
+
+def test_running_lines_do_not_depend_on_the_partitions(spark):
+    rows = [(n, "b1", n, f"A Book of Strays\nText number {'x' * n} goes on here.\nIt ends here.") for n in range(1, 13)]
+    rows.append((90, "b2", 1, "Another text begins here.\nA Book of Strays\nIt goes on to its end."))
+    df = spark.createDataFrame(rows, "page_key long, book_id string, page int, text_layer string")
+    got = [S.page_sketch(d, ("text_layer",)).anywhere for d in (df.repartition(13), df.repartitionByRange(2, "page"), df.coalesce(1))]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 1
