@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.incremental import due_documents
+from ..operators.incremental import commit_bound, due_documents
 from ..session import table
 
 
 def _due(spark: SparkSession, sf: str) -> DataFrame:
-    return due_documents(*(table(spark, sf, t) for t in ("documents", "scan_ledger", "scan_runs")))
+    documents, ledger, runs = (table(spark, sf, t) for t in ("documents", "scan_ledger", "scan_runs"))
+    return due_documents(documents, ledger, runs, commit_bound(runs))
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:

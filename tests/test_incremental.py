@@ -99,3 +99,15 @@ def test_job_refuses_a_second_commit_of_one_batch(spark, tmp_path):
     with pytest.raises(RuntimeError):
         a.run(source(spark, [(1, 1)]), overtaken)
     assert a.output().count() == 1
+
+
+def test_the_query_fixes_its_bound(spark, tmp_path, monkeypatch):
+    from quire.plans import training
+
+    spark.sql("SELECT 1 AS run_id, timestamp'2024-01-02' AS committed_at UNION ALL SELECT 2, NULL").write.parquet(f"{tmp_path}/scan_runs.parquet")
+    for t in ("documents", "scan_ledger"):
+        spark.range(1).write.parquet(f"{tmp_path}/{t}.parquet")
+    given = []
+    monkeypatch.setattr(training, "due_documents", lambda d, ledger, runs, upper=None: given.append(upper))
+    training._due(spark, str(tmp_path))
+    assert [str(u) for u in given] == ["2024-01-02 00:00:00"]
