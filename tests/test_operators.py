@@ -169,3 +169,11 @@ def test_stream_equals_batch(spark, tmp_path):
     streams.run_once(stream, f"{tmp_path}/out", f"{tmp_path}/state")
     got = spark.read.parquet(f"{tmp_path}/out").count()
     assert 2 <= got <= streams.windowed_counts(df).count() == 3
+
+
+def test_bm25_takes_all_terms(spark):
+    from quire.operators import retrieval
+
+    index = spark.range(10_050).selectExpr("id AS chunk_key", "concat('t', id) AS term", "1L AS tf", "1 AS length")
+    statistics = spark.sql("SELECT 10050L AS chunks, 1.0D AS average")
+    assert retrieval.bm25(index, statistics, index.select("term")).count() == 10_050
