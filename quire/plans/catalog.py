@@ -58,9 +58,8 @@ FROM sc JOIN chunks USING (chunk_key) ORDER BY rank LIMIT 20""")
 def retrieval_topk(t):
     chunks = t("chunks")
     spark = chunks.sparkSession
-    scores = retrieval.bm25(
-        retrieval.postings(chunks), retrieval.statistics_of(chunks), retrieval.query_terms(spark, QUESTION)
-    )
+    index, statistics = retrieval.scan_index(chunks, QUESTION)
+    scores = retrieval.bm25(index, statistics, retrieval.query_terms(spark, QUESTION))
     return retrieval.top_k(chunks, scores, 20).select("chunk_key", "path", "source_kind", "score", n(F.col("rank")).alias("rank"))
 
 
@@ -469,19 +468,19 @@ cl AS (SELECT *, CASE WHEN a = '' AND b = '' THEN 'both_empty' WHEN a = '' THEN
 
 @query(f"{_SIM} SELECT page_key, score, class FROM cl")
 def trigram_similarity(t):
-    return compare.scored_pages(t("pages")).select("page_key", "score", "class")
+    return compare.scored_pages(t("pages"), ["page_key"]).select("page_key", "score", "class")
 
 
 @query(f"""{_SIM} SELECT path, count(*) AS pages, count(*) FILTER (length({S.squeeze('t')}) > 0) AS read_pages,
 {', '.join(f"count(*) FILTER (class = '{b}') AS {b}" for b in compare.BANDS)}, min(score) AS least_score FROM cl GROUP BY path""")
 def compare_rollup(t):
-    return compare.document_rollup(compare.scored_pages(t("pages")))
+    return compare.document_rollup(compare.scored_pages(t("pages"), ["path"]))
 
 
 @query(f"""{_SIM} SELECT page_key, score, class FROM cl WHERE class IN ('near_match_review', 'difference_review', 'major_difference_review')
 ORDER BY score, page_key LIMIT 50""")
 def review_priority(t):
-    return compare.review_priority(compare.scored_pages(t("pages")), 50).select("page_key", "score", "class")
+    return compare.review_priority(compare.scored_pages(t("pages"), ["page_key"]), 50).select("page_key", "score", "class")
 
 
 @query("""WITH s AS (SELECT lower(trim(source_hash)) AS h, min(book_id) AS source_path, count(*) AS copies FROM books WHERE source_hash IS NOT NULL GROUP BY 1)

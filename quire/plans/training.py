@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.incremental import commit_bound, due_documents
-from ..session import table
+from ..operators.incremental import ScanHistory
+from ..session import checkpoint_dir, table
 
 
 def _due(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents due now, by a history that begins here: its first run
+    takes all commits up to the bound, in a folder of its own."""
     documents, ledger, runs = (table(spark, sf, t) for t in ("documents", "scan_ledger", "scan_runs"))
-    return due_documents(documents, ledger, runs, commit_bound(runs))
+    history = ScanHistory(spark, f"{checkpoint_dir(spark)}/quire-history-{uuid.uuid4().hex}")
+    history.run(ledger, runs)
+    return history.due(documents)
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:

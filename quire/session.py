@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,27 +31,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+SPREAD_BYTES = 1 << 30
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A plain scan over as many partitions as there are cores.
 
     Small tables often lie in one file with one row group, which is one task.
-    A scan that already has half as many partitions as there are cores, as any
-    large one has, stays as it is and is not shuffled.
+    Only a scan of under ``SPREAD_BYTES`` with too few partitions is shuffled;
+    a larger one is left as Spark splits it (spark.sql.files.maxPartitionBytes).
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() * 2 > cores else df.repartition(cores)
+    if df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df if int(str(size)) >= SPREAD_BYTES else df.repartition(cores)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a local one only where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = known.get() if known.isDefined() else None
+    """The shared folder of the cluster.  Where none is set a local session
+    gets a folder of its own; a cluster must name one."""
+    context = spark.sparkContext
+    known = context._jsc.sc().getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or (known.get() if known.isDefined() else None)
     if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="quire-checkpoint-")
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(folder)
+    if not known.isDefined():
+        context.setCheckpointDir(folder)
     return folder
 
 
@@ -58,3 +67,11 @@ def cut(df: DataFrame) -> DataFrame:
     """Lineage cut through the reliable checkpoint folder."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table written to the checkpoint folder: computed once,
+    read by any number of later steps, and safe from lost executors."""
+    folder = f"{checkpoint_dir(df.sparkSession)}/quire-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.incremental import publish
+from .. import storage
 
 
 def write_csv(df: DataFrame, folder: str) -> None:
@@ -31,13 +31,14 @@ def lock_json(lock: DataFrame) -> DataFrame:
 
 
 def swap_parquet(df: DataFrame, folder: str, least_rows: int = 0) -> int:
-    """Writes beside the folder, checks the count, swaps it in (local)."""
-    staged = f"{folder}.new-{uuid.uuid4().hex[:8]}"
+    """Writes beside the folder, checks the count, swaps it in."""
+    spark, staged = df.sparkSession, f"{folder}.new-{uuid.uuid4().hex[:8]}"
     df.write.parquet(staged)
-    n = df.sparkSession.read.parquet(staged).count()
+    n = spark.read.parquet(staged).count()
     if n < least_rows:
+        storage.remove(spark, staged)
         raise ValueError(f"{n} rows, at least {least_rows} expected; {folder} is unchanged")
-    publish(staged, folder)
+    storage.swap(spark, staged, folder)
     return n
 
 

@@ -72,7 +72,7 @@ def test_similarity(spark):
     df = spark.createDataFrame(
         [(1, "甲乙丙丁", "甲乙丙丁"), (2, "甲乙丙丁", "甲乙丙戊"), (3, "", "x"), (4, None, None), (5, "ab", "abc")], "k int, a string, b string"
     )
-    got = {r.k: r.score for r in compare.similarity(df, "k", "a", "b").collect()}
+    got = {r.k: r.score for r in compare.similarity(df, "a", "b", ["k"]).collect()}
     assert got == {1: 1.0, 2: 0.5, 3: 0.0, 4: 1.0, 5: 0.0}
 
 
