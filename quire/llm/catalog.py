@@ -27,16 +27,17 @@ def p3_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return splitting.split_items(chunks, "chunk_key", "content", ("section", "page"))
 
 
+def _hashed(spark: SparkSession, sf: str) -> DataFrame:
+    a = skeleton.hashed(table(spark, sf, "pages"), "page_key", "text_layer", "text_layer")
+    return a.unionByName(skeleton.hashed(table(spark, sf, "chunks"), "chunk_key", "content", "content"))
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
-    a = skeleton.look_alike_pairs(table(spark, sf, "pages"), "page_key", "text_layer", "text_layer")
-    b = skeleton.look_alike_pairs(table(spark, sf, "chunks"), "chunk_key", "content", "content")
-    return a.unionByName(b)
+    return skeleton.pairs_of(_hashed(spark, sf))
 
 
 def p4_classes(spark: SparkSession, sf: str) -> DataFrame:
-    a = skeleton.look_alike_classes(table(spark, sf, "pages"), "page_key", "text_layer", "text_layer")
-    b = skeleton.look_alike_classes(table(spark, sf, "chunks"), "chunk_key", "content", "content")
-    return a.unionByName(b)
+    return skeleton.classes_of(_hashed(spark, sf))
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:

@@ -20,7 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import spread, written
+
+HOT = 100_000  # rows of one text that one task takes
 # Letters of other scripts that look like Latin ones.
 LOOKALIKES = {
     # Cyrillic
@@ -154,7 +156,7 @@ def with_skeleton(df: DataFrame, text: str, into: str = "skeleton") -> DataFrame
     return spread(df.select(*kept, F.col(text).alias("skeleton_of_"))).mapInArrow(run, schema)
 
 
-def _hashed(df: DataFrame, key: str, text: str, field: str) -> DataFrame:
+def hashed(df: DataFrame, key: str, text: str, field: str) -> DataFrame:
     """field, key, hash of the skeleton and of the text: no text is shuffled."""
 
     def run(batches):
@@ -183,46 +185,53 @@ def _hashed(df: DataFrame, key: str, text: str, field: str) -> DataFrame:
     )
 
 
-def look_alike_classes(df: DataFrame, key: str, text: str, field: str) -> DataFrame:
+def mixed_variants(rows: DataFrame) -> DataFrame:
+    """field, skeleton, raw, n, variant_id: the texts of classes that hold
+    more than one, with their number of rows and least key.  Copies fall
+    together on the map side, so a class of very many is no hot key."""
+    variants = rows.groupBy("field", "skeleton", "raw").agg(F.count("*").alias("n"), F.min("key").alias("variant_id"))
+    several = variants.groupBy("field", "skeleton").agg(F.count("*").alias("v")).where("v > 1")
+    return variants.join(several.drop("v"), ["field", "skeleton"])
+
+
+def classes_of(rows: DataFrame) -> DataFrame:
     """One row per text row whose class holds different texts: field, key,
     class_id (least key of the class), variant_id (least key of the same
-    text), members.  Variants are pre-aggregated before classes are formed.
-    """
-    rows = _hashed(df, key, text, field)
-    variants = rows.groupBy("field", "skeleton", "raw").agg(
-        F.min("key").alias("variant_id"), F.count("*").alias("n")
-    )
-    classes = (
-        variants.groupBy("field", "skeleton")
-        .agg(F.min("variant_id").alias("class_id"), F.sum("n").alias("members"), F.count("*").alias("v"))
-        .where("v > 1")
-        .drop("v")
-    )
-    return (
-        rows.join(classes, ["field", "skeleton"])
-        .join(variants.drop("n"), ["field", "skeleton", "raw"])
-        .select("field", "key", "class_id", "variant_id", "members")
-    )
+    text), members.  rows: ``hashed``."""
+    rows = written(rows, "skeletons")
+    variants = mixed_variants(rows)
+    classes = variants.groupBy("field", "skeleton").agg(F.min("variant_id").alias("class_id"), F.sum("n").alias("members"))
+    named = variants.drop("n").join(classes, ["field", "skeleton"])
+    return rows.join(named, ["field", "skeleton", "raw"]).select("field", "key", "class_id", "variant_id", "members")
 
 
-def look_alike_pairs(df: DataFrame, key: str, text: str, field: str) -> DataFrame:
+def pairs_of(rows: DataFrame, hot: int = HOT) -> DataFrame:
     """field, key_a, key_b (key_a < key_b): rows of one class with different
-    texts.  Classes with only one text never reach the join, so groups of
-    exact copies, however large, make no pairs.  Nulls have no class; empty
-    texts differ from texts that print nothing and look like them.
+    texts.  rows: ``hashed``.
+
+    Texts are hashed once.  Distinct texts of a class are paired first and
+    rows are put to them then, so copies of one text never meet each other,
+    and each step makes no more rows than the result has.  Rows of a text
+    that has more than ``hot`` are dealt to several tasks.
     """
-    rows = _hashed(df, key, text, field)
-    mixed = (
-        rows.groupBy("field", "skeleton")
-        .agg(F.min("raw").alias("lo"), F.max("raw").alias("hi"))
-        .where("lo <> hi")
-        .select("field", "skeleton")
-    )
-    left = rows.join(mixed, ["field", "skeleton"], "left_semi")
-    a = left.select("field", "skeleton", F.col("raw").alias("raw_a"), F.col("key").alias("key_a"))
-    b = left.select("field", "skeleton", F.col("raw").alias("raw_b"), F.col("key").alias("key_b"))
-    return (
-        a.join(b, ["field", "skeleton"])
-        .where("raw_a <> raw_b AND key_a < key_b")
-        .select("field", "key_a", "key_b")
-    )
+    rows = written(rows, "skeletons")
+    variants = mixed_variants(rows).withColumn("shares", F.ceil(F.col("n") / hot).cast("int")).drop("n", "variant_id")
+    ours = rows.join(variants, ["field", "skeleton", "raw"])
+    dealt = ours.withColumn("share", F.pmod(F.xxhash64("key"), "shares").cast("int")).drop("shares")
+    side = lambda d, x: d.select("field", "skeleton", F.col("raw").alias(f"raw_{x}"), *[F.col(c).alias(f"{c}_{x}") for c in d.columns[3:]])
+    each = variants.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
+    pairs = side(each, "a").join(side(each, "b"), ["field", "skeleton"]).where("raw_a < raw_b")
+    a, b = (side(dealt, x) for x in "ab")
+    both = pairs.join(a, ["field", "skeleton", "raw_a", "share_a"]).join(b, ["field", "skeleton", "raw_b", "share_b"])
+    return both.select("field", F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b")).where("key_a < key_b")
+
+
+def look_alike_classes(df: DataFrame, key: str, text: str, field: str) -> DataFrame:
+    """``classes_of`` one table.  Nulls have no class; empty texts differ from
+    texts that print nothing and look like them."""
+    return classes_of(hashed(df, key, text, field))
+
+
+def look_alike_pairs(df: DataFrame, key: str, text: str, field: str) -> DataFrame:
+    """``pairs_of`` one table; nulls and empty texts as in the classes."""
+    return pairs_of(hashed(df, key, text, field))

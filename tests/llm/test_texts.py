@@ -91,6 +91,15 @@ def test_pairs_against_brute_force(spark):
     assert skeleton.with_skeleton(df.withColumnRenamed("k", "skeleton"), "t").columns == ["t", "skeleton"]
 
 
+def test_many_copies_meet_only_other_texts(spark):
+    copies = spark.range(50_000).selectExpr("id AS k", "'a placeholder' AS t")
+    df = copies.unionByName(spark.createDataFrame([(-1, "ａ placeholder"), (-2, "a\u200b placeholder")], "k long, t string"))
+    rows = skeleton.hashed(df, "k", "t", "f")
+    assert skeleton.pairs_of(rows).count() == 2 * 50_000 + 1
+    assert skeleton.pairs_of(rows, hot=1000).distinct().count() == 2 * 50_000 + 1
+    assert skeleton.classes_of(rows).where("class_id = -2 AND members = 50002").count() == 50_002
+
+
 # -- page repair --------------------------------------------------------------
 def pages(spark):
     body = [
