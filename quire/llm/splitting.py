@@ -1,11 +1,12 @@
 """Splitting oversized items at natural boundaries.
 
-A text is parsed into a tree of spans: headings, blocks between blank lines,
-list items and table rows, lines, sentences, clauses, words, characters.
-Packing goes bottom-up: neighbouring siblings merge while they fit; only a
-node that is too large by itself is opened and its children packed.  Pieces
-are then laid over the text so that each one begins up to ``overlap`` tokens
-before the end of the one before it, again at a boundary where there is one.
+A text is parsed into a structure tree: sections by heading level, nested
+lists and their items, tables and their rows, fenced blocks, paragraphs; a
+leaf is cut at sentences, lines, clauses, words and at last characters.
+Packing merges neighbouring siblings, from left to right, while they fit, and
+opens only a node that is too large by itself.  Pieces are then laid over the
+text so that each one begins up to ``overlap`` tokens before the end of the
+one before it, again at a boundary where there is one.
 
 Every piece is a slice of the stored text: nothing is lost and nothing is
 made up; the slices cover all that is not blank.
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import spread
+
 LIMIT, OVERLAP = 480, 60
 # Unicode White_Space, as text and as a class of Java's regex.
 WHITE = "\t-\r \x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -91,72 +93,189 @@ class Meter:
         return len(self.text)
 
 
-_BLANK_LINE = re.compile(r"(?:\r\n|\n|\r)[ \t\u3000]*(?:\r\n|\n|\r)\s*")
+_LINES = re.compile(r"[^\r\n]*(?:\r\n|\n|\r|$)")
 _LINE = re.compile(r"\r\n|\n|\r")
 _SENTENCE = re.compile(r"(?:[。｡！？!?।॥]+|[^\d\s.][.]+|…+)[”’\"'»」』）)\]]*(?=\s|[^\s.,;:!?。！？”’\"»」』）)])|(?<=[฀-๿]) (?=[฀-๿])")
 _CLAUSE = re.compile(r"[；;：:，,、][”\"»]?\s*|\s[—–-]\s")
 _WORD_GAP = re.compile(r"\s+")
-_HEADING = re.compile(r"^[ \t\u3000]*[#＃]{1,6}[ \t\u3000]", re.M)
+_CELL = re.compile(r"[|｜]")
+_HEADING = re.compile(r"[ \t\u3000]*([#＃]{1,6})[ \t\u3000]")
+_ITEM = re.compile(r"([ \t\u3000]*)(?:[-*+•·‣◦][ \t\u3000]|(?:\d{1,3}|[a-zA-Z])[.)．）][ \t\u3000]|\d{1,3}、|[(（][\d一二三四五六七八九十]{1,3}[)）])")
+_ROW = re.compile(r"[ \t\u3000]*[|｜]")
+_FENCE = re.compile(r"[ \t]*(```|~~~)")
+_INDENT = re.compile(r"[ \t\u3000]*")
+# What a leaf is cut at, in this order, when it is opened.
+INSIDE = {
+    "text": (_SENTENCE, _LINE, _CLAUSE, _WORD_GAP),
+    "row": (_CELL, _CLAUSE, _WORD_GAP),
+    "code": (_LINE, _CLAUSE, _WORD_GAP),
+    "heading": (_CLAUSE, _WORD_GAP),
+}
+
+
+class Node:
+    """A stretch of the text: section, list, item, table or a leaf.
+
+    depth: of a section its heading's level, of an item its indent.
+    """
 
+    __slots__ = ("start", "end", "kind", "depth", "children")
 
-def _cuts(text: str, a: int, b: int, pattern: re.Pattern) -> list[tuple[int, int]]:
-    out, at = [], a
-    for m in pattern.finditer(text, a, b):
-        if a < m.end() < b:
-            out.append((at, m.end()))
-            at = m.end()
-    out.append((at, b))
-    return out
+    def __init__(self, start: int, end: int, kind: str, depth: int = 0):
+        self.start, self.end, self.kind, self.depth = start, end, kind, depth
+        self.children: list[Node] = []
+
+    def only_heading(self) -> bool:
+        return self.kind == "heading" or self.kind == "section" and all(c.only_heading() for c in self.children)
 
 
-def _sections(text: str, a: int, b: int) -> list[tuple[int, int]]:
-    """Parts that begin with a heading line."""
-    at = [m.start() for m in _HEADING.finditer(text, a, b) if m.start() > a]
-    edges = [a, *at, b]
-    return list(zip(edges, edges[1:], strict=False))
+def parse(text: str) -> Node:
+    """The structure tree of a text.
+
+    Sections lie in the sections of lower headings; lists lie in the items
+    they are indented under; a table holds its rows; a fenced block and a
+    paragraph are leaves.  A stack holds what is open; each line closes what
+    it does not belong to.
+    """
+    root = Node(0, len(text), "section")
+    stack = [root]
+    fence, gap = "", True
+
+    def grow(end: int) -> None:
+        for n in stack:
+            n.end = max(n.end, end) if n is not root else n.end
+
+    def add(start: int, end: int, kind: str, depth: int = 0, push: bool = False) -> None:
+        node = Node(start, end, kind, depth)
+        stack[-1].children.append(node)
+        if push:
+            stack.append(node)
+        grow(end)
+
+    def close(*kinds: str) -> None:
+        while stack[-1].kind in kinds:
+            stack.pop()
+
+    for m in _LINES.finditer(text):
+        a, b = m.span()
+        if a == b:
+            continue
+        last = stack[-1].children[-1] if stack[-1].children else None
+        if fence:
+            last.end = b
+            grow(b)
+            f = _FENCE.match(text, a, b)
+            if f and f[1] == fence:
+                fence = ""
+            continue
+        if not _NOT_WHITE.search(text, a, b):
+            close("table")
+            gap = True
+            continue
+        joined, gap = not gap, False
+        if h := _HEADING.match(text, a, b):
+            close("table", "item", "list")
+            level = len(h[1])
+            while stack[-1].depth >= level:
+                stack.pop()
+            add(a, b, "section", level, True)
+            add(a, b, "heading")
+        elif f := _FENCE.match(text, a, b):
+            close("table", "item", "list")
+            fence = f[1]
+            add(a, b, "code")
+        elif _ROW.match(text, a, b):
+            if stack[-1].kind != "table":
+                close("item", "list")
+                add(a, b, "table", 0, True)
+            add(a, b, "row")
+        elif i := _ITEM.match(text, a, b):
+            close("table")
+            indent = len(i[1])
+            while stack[-1].kind in ("item", "list") and (stack[-1].kind == "list" or stack[-1].depth >= indent):
+                if stack[-1].kind == "list" and stack[-1].depth <= indent:
+                    break
+                stack.pop()
+            if stack[-1].kind != "list":
+                add(a, b, "list", indent, True)
+            add(a, b, "item", indent, True)
+            add(a, b, "text")
+        else:
+            close("table")
+            if stack[-1].kind in ("item", "list"):
+                deep = len(_INDENT.match(text, a, b)[0])
+                if not joined and deep <= stack[-1].depth:
+                    close("item", "list")
+                    joined = False
+            last = stack[-1].children[-1] if stack[-1].children else None
+            if joined and last is not None and last.kind == "text":
+                last.end = b
+                grow(b)
+            else:
+                add(a, b, "text")
+    return root
+
+
+def _cuts(text: str, node: Node) -> list[Node]:
+    """The parts of a leaf at the first boundary that cuts it at all."""
+    patterns = INSIDE[node.kind]
+    for k in range(node.depth, len(patterns)):
+        out, at = [], node.start
+        for m in patterns[k].finditer(text, node.start, node.end):
+            if node.start < m.end() < node.end:
+                out.append(Node(at, m.end(), node.kind, k + 1))
+                at = m.end()
+        if out:
+            return [*out, Node(at, node.end, node.kind, k + 1)]
+    return []
 
 
-LEVELS = (
-    _sections,
-    lambda t, a, b: _cuts(t, a, b, _BLANK_LINE),
-    lambda t, a, b: _cuts(t, a, b, _LINE),
-    lambda t, a, b: _cuts(t, a, b, _SENTENCE),
-    lambda t, a, b: _cuts(t, a, b, _CLAUSE),
-    lambda t, a, b: _cuts(t, a, b, _WORD_GAP),
-)
+def _characters(meter: Meter, a: int, b: int, limit: int) -> list[tuple[int, int]]:
+    out = []
+    while meter.count(a, b) > limit:
+        e = meter.reach(a, limit)
+        e = e if e > a else a + 1
+        while e < b and e > a + 1 and _COMBINING.match(meter.text[e]):
+            e -= 1
+        out.append((a, e))
+        a = e
+    return [*out, (a, b)]
 
 
-def pack(meter: Meter, a: int, b: int, limit: int, level: int = 0) -> list[tuple[int, int, int]]:
-    """(start, end, level) of pieces within the limit, merged bottom-up.
+def pack(meter: Meter, node: Node, limit: int, lead: int | None = None) -> list[tuple[int, int]]:
+    """(start, end) of the pieces of a node, within the limit.
 
-    The children of a node are packed each by itself first; neighbours are
-    then merged while they fit, the pair with the fewest tokens first within
-    reach, which keeps pieces even.
+    A node that fits is one piece.  Only a node that does not is opened: of
+    its children, neighbours that fit merge while they fit together, those
+    that do not are packed by themselves, and nothing merges over the edge of
+    an opened node.  A heading stays with what follows it: ``lead`` is where
+    the headings begin that the node's first piece must hold as well.
     """
-    if meter.count(a, b) <= limit:
-        return [(a, b, level)]
-    text = meter.text
-    if level == len(LEVELS):
-        out = []
-        while meter.count(a, b) > limit:
-            e = meter.reach(a, limit)
-            e = e if e > a else a + 1
-            while e < b and e > a + 1 and _COMBINING.match(text[e]):
-                e -= 1
-            out.append((a, e, level))
-            a = e
-        out.append((a, b, level))
-        return out
-    parts: list[tuple[int, int, int]] = []
-    for s, e in LEVELS[level](text, a, b):
-        parts += [(s, e, level)] if meter.count(s, e) <= limit else pack(meter, s, e, limit, level + 1)
-    out = [parts[0]]
-    for s, e, lv in parts[1:]:
-        p, _, plv = out[-1]
-        if meter.count(p, e) <= limit:
-            out[-1] = (p, e, min(plv, lv))
+    start = node.start if lead is None else lead
+    if meter.count(start, node.end) <= limit:
+        return [(start, node.end)]
+    children = node.children if node.kind not in INSIDE else _cuts(meter.text, node)
+    if not children:
+        return _characters(meter, start, node.end, limit)
+    out: list[tuple[int, int]] = []
+    held: list[int] | None = None if lead is None else [lead, lead]  # a group under way
+    bare = lead is not None  # it holds headings only
+    for child in children:
+        if held and meter.count(held[0], child.end) <= limit:
+            held[1], bare = child.end, bare and child.only_heading()
+            continue
+        if held and not bare:
+            out.append((held[0], held[1]))
+            held = None
+        before = held[0] if held else None
+        held = None
+        if before is None and meter.count(child.start, child.end) <= limit:
+            held, bare = [child.start, child.end], child.only_heading()
         else:
-            out.append((s, e, lv))
+            out += pack(meter, child, limit, before)
+            bare = False
+    if held:
+        out.append((held[0], held[1]))
     return out
 
 
@@ -174,7 +293,7 @@ def _back(meter: Meter, floor: int, at: int, budget: int) -> int:
         else:
             lo = mid + 1
     text = meter.text
-    for pattern in (_LINE, _SENTENCE, _CLAUSE, _WORD_GAP):
+    for pattern in (_SENTENCE, _LINE, _CLAUSE, _WORD_GAP):
         for m in pattern.finditer(text, lo, at):
             if lo < m.end() < at and _NOT_WHITE.search(text, m.end(), at):
                 return m.end()
@@ -197,8 +316,7 @@ def split(text: str | None, limit: int = LIMIT, overlap: int = OVERLAP) -> list[
     meter = Meter(text)
     overlap = min(overlap, limit // 2)
     out: list[tuple[int, int, int]] = []
-    at, end = 0, len(text)
-    for s, e, _ in pack(meter, at, end, limit - overlap):
+    for s, e in pack(meter, parse(text), limit - overlap):
         while e > s and text[e - 1].isspace():
             e -= 1
         if e <= s:

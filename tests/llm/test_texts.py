@@ -37,6 +37,45 @@ def test_cuts_lie_at_headings_first():
     assert [p[:3] for p in pieces] == ["# A", "# B"]
 
 
+def nodes(n):
+    yield n
+    for c in n.children:
+        yield from nodes(c)
+
+
+LINES = st.sampled_from(["# A", "## B b", "### C", "- item one.", "  - item two, 甲乙丙。", "    1. deep", "|a|b|", "|甲|乙丙丁|", "", "```", "Text goes on. It ends.", "甲乙丙丁。戊己庚辛，壬癸。", "wrapped text line"])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(LINES, max_size=30), st.integers(12, 60))
+def test_pieces_follow_the_tree(lines, limit):
+    text = "\n".join(lines)
+    meter, tree = splitting.Meter(text), splitting.parse(text)
+    every = list(nodes(tree))
+    assert all(x.start <= y.start and y.end <= x.end for x in every for y in x.children)
+    assert all(y.end <= z.start for x in every for y, z in zip(x.children, x.children[1:], strict=False))
+    pieces = splitting.pack(meter, tree, limit)
+    assert all(meter.count(a, b) <= limit for a, b in pieces)
+    assert all(x[1] <= y[0] for x, y in zip(pieces, pieces[1:], strict=False))
+    for n in every:
+        if meter.count(n.start, n.end) > limit:  # an opened node: no piece goes over its edge
+            for a, b in pieces:
+                if a < n.end and b > n.start:
+                    before = text[a : n.start].strip().splitlines() if a < n.start else []
+                    assert b <= n.end and all(x.startswith("#") for x in before if x)
+    for n in every:  # a heading is never cut from the text of its section
+        if n.kind == "section" and n.children and n.children[0].kind == "heading" and not n.only_heading():
+            a, b = next(x for x in pieces if x[0] <= n.start < x[1])
+            assert b > n.children[0].end
+
+
+def test_headings_lists_and_tables_keep_together():
+    text = "# One\n\n" + "甲乙丙丁。" * 30 + "\n\n## Two\n- a b\n  - c d\n- e f\n\n| x | y |\n| 1 | 2 |\n\n## Three\nshort end.\n"
+    pieces = [text[a:b] for a, b, _ in splitting.split(text, 60, 0)]
+    assert pieces[0].startswith("# One\n\n甲乙") and not any(p.strip() in ("# One", "## Two", "## Three") for p in pieces)
+    assert any(p.startswith("## Two") and p.endswith("| 1 | 2 |") for p in pieces) or pieces[-1].startswith("## Two")
+
+
 def test_split_items(spark):
     rows = [(1, "甲" * 1000, "s", 3), (2, "short", None, None), (3, None, "s", 1), (4, " ", "s", 1), (1, "甲" * 1000, "s", 3)]
     df = spark.createDataFrame(rows, "k long, content_text string, section string, page int")
