@@ -7,13 +7,14 @@ abbreviation tries read backwards from the stop.  Offsets count code points
 of the text as stored.
 
 Results by case: a null or blank text has no unit; a text without any mark
-gives its lines; a text of any length is read in one pass, with look-ahead of
-at most ``QUOTE_SPAN`` characters for the end of a quotation.
+gives its lines.  A first pass pairs the quotation marks and brackets of a
+block, a second runs the automaton; quotations may have any length.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,8 +25,6 @@ from . import furniture as Fu
 from . import counts as C
 from .skeleton import TABLE
 
-QUOTE_SPAN = 400
-
 # Abbreviations by what follows them.
 NEVER_END = """dr prof mr mrs ms m hr fr st mme mlle mm vgl cf e.g i.e eg ie z.b d.h u.a
 bzw ca vs viz resp sog al approx dept ed eds rev gen gov sen rep hon capt lt sgt col
@@ -56,6 +55,7 @@ QUOTES = set("“„«「『\"")
 CLOSERS = set("”“»」』\"’》)）]］】〕〉")
 HARD = "。｡！？!?।॥"
 _TOKEN = re.compile(r"[“”„«»「」『』\"《》()（）\[\]［］【】〔〕〈〉]|[。｡！？!?।॥．.…]+")
+_PAIRED = re.compile(r"[“”„«»「」『』\"《》()（）\[\]［］【】〔〕〈〉]")
 _THAI = re.compile(r"[฀-๿]")
 _THAI_GAP = re.compile(r"(?<=\S)[ \u00a0\u2007\u202f\u3000]+(?=\S)")
 _FINAL = re.compile(r"[。｡！？!?।॥…]|[^\s\d.．][.．](?=[\s”\"»)）]|$)|\d[.．]\s*$", re.M)
@@ -170,6 +170,29 @@ def _goes_on(text: str, opened: int, close: int, end: int) -> bool:
     return bool(_ATTRIBUTION.match(rest))
 
 
+def closers(text: str, spans: list[tuple[int, int]]) -> set[int]:
+    """Places of the openers in a block that are closed in it, however far
+    away.  A closer belongs to the last opener of its kind; what was opened
+    between the two and not closed stays open."""
+    out: set[int] = set()
+    stack: list[tuple[str, int]] = []
+    waiting: Counter = Counter()
+    for a, b in spans:
+        for m in _PAIRED.finditer(text, a, b):
+            c, i = m[0], m.start()
+            if waiting[c]:
+                while True:
+                    close, at = stack.pop()
+                    waiting[close] -= 1
+                    if close == c:
+                        break
+                out.add(at)
+            elif c in OPEN or c == '"' and (i == 0 or text[i - 1].isspace() or text[i - 1] in "([（"):
+                stack.append((OPEN.get(c, c), i))
+                waiting[stack[-1][0]] += 1
+    return out
+
+
 class Automaton:
     """Scans the lines of one block; the stack lives over line ends."""
 
@@ -190,6 +213,7 @@ class Automaton:
         self.stack.clear()
 
     def block(self, spans: list[tuple[int, int]]) -> None:
+        self.closer = closers(self.text, spans)
         for k, (a, b) in enumerate(spans):
             self.line(a, b, spans[k + 1 :])
         self.flush()
@@ -237,7 +261,8 @@ class Automaton:
                 self.stack.pop()
                 continue
             if c in OPEN or c == '"':
-                self._open(c, i, b, later)
+                if i in self.closer:  # one that is never closed opens nothing
+                    self.stack.append((OPEN.get(c, '"'), i))
                 continue
             if c not in HARD and c not in ".．…":
                 continue  # a closer without its opener
@@ -281,18 +306,6 @@ class Automaton:
         elif self.start >= 0:
             self.last = max(self.last, at)
 
-    def _open(self, c: str, i: int, b: int, later: list[tuple[int, int]]) -> None:
-        text = self.text
-        close = OPEN.get(c, '"')
-        if c == '"' and i and not text[i - 1].isspace() and text[i - 1] not in "([（":
-            return
-        stop = later[-1][1] if later else b
-        k = text.find(close, i + 1, min(stop, i + QUOTE_SPAN))
-        if k < 0 and c == "“":
-            return
-        if k >= 0 and (c in QUOTES or k - i < 200):
-            self.stack.append((close, i))
-
     def _thai_end(self, start: int, i: int, j: int, b: int) -> bool:
         """Whether the blank text[i:j] ends a Thai sentence."""
         text = self.text
@@ -368,6 +381,7 @@ def units(text: str | None, drop: set[int] | None = None, spans=None) -> list[tu
     out: list[tuple[int, int]] = []
     block: list[tuple[int, int]] = []
     item = False
+    levels: list[int] = []  # indents of the open list items
     auto = Automaton(text, thai, out)
 
     def close() -> None:
@@ -402,12 +416,24 @@ def units(text: str | None, drop: set[int] | None = None, spans=None) -> list[tu
             close()
         elif kind == "own":
             close()
+            levels.clear()
             out.append((a, b))
         elif kind == "item":
             close()
+            indent = a - 1 - max(text.rfind("\n", 0, a), text.rfind("\r", 0, a))
+            while levels and levels[-1] >= indent:
+                levels.pop()
+            levels.append(indent)
             block.append((a, b))
             item = True
         else:
+            if item and len(levels) > 1:
+                # back under an outer item: text of its own, not of the inner one
+                indent = a - 1 - max(text.rfind("\n", 0, a), text.rfind("\r", 0, a))
+                if levels[0] < indent <= levels[-1]:
+                    close()
+                    while levels[-1] >= indent:
+                        levels.pop()
             block.append((a, b))
     close()
     return out

@@ -40,6 +40,26 @@ def test_units(text, expected):
     assert cut(text) == expected
 
 
+def test_long_quotations_and_brackets():
+    for n in (3, 40, 400):
+        inner = "甲乙丙丁。" * n
+        assert cut(f"他说：“{inner}”，然后走了。戊己。") == [f"他说：“{inner}”，然后走了。", "戊己。"]
+        assert cut(f"庚辛（{inner}子）壬癸。戊己。") == [f"庚辛（{inner}子）壬癸。", "戊己。"]
+        assert cut(f"“甲「{inner}」乙” 便走了。戊己。")[-1] == "戊己。"
+        latin = "It went on there. " * n
+        assert cut(f"He wrote « {latin}» and left. Then it ended.") == [f"He wrote « {latin}» and left.", "Then it ended."]
+
+
+def test_unclosed_marks_inside_others():
+    assert cut("“甲（乙。丙”，便走了。戊己。丁）。") == ["“甲（乙。丙”，便走了。", "戊己。", "丁）。"]
+    assert cut("（甲“乙。丙）。戊己。") == ["（甲“乙。丙）。", "戊己。"]
+
+
+def test_list_levels():
+    text = "- one\n  - two goes\n    on here\n  back under one.\n- three"
+    assert cut(text) == ["- one", "- two goes\n    on here", "back under one.", "- three"]
+
+
 def test_furniture_interrupts_no_unit():
     text = "One sentence goes\nScanned by X\non here. Next\n4"
     assert cut(text, {1, 3}) == ["One sentence goes\nScanned by X\non here.", "Next"]
