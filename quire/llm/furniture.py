@@ -13,11 +13,13 @@ from __future__ import annotations
 import re
 import unicodedata
 
+import xxhash
+
 from .counts import Lines
 
 BREAK = re.compile(r"\r\n|\n|\r")
 EDGE = 3  # lines from either end of a page that are counted
-LONGEST = 80  # no running line is longer
+WHOLE = 64  # a key of more characters is held as its digest
 PLACEHOLDER = re.compile(r"^\s*[\[［]本页未提取到文本.{0,20}[\]］]\s*$")
 
 # Characters that scanning takes for one another, wrong -> right.
@@ -72,7 +74,8 @@ def line_key(line: str) -> str:
     """
     if _DIGIT.search(line):
         line = _NUMBER.sub(" ", line)
-    return line.translate(_FOLD).replace("rn", "m").replace("ll", "n")
+    key = line.translate(_FOLD).replace("rn", "m").replace("ll", "n")
+    return key if len(key) <= WHOLE else f"#{xxhash.xxh3_128_hexdigest(key)}"
 
 
 # numbers with a part, and what is left of a measure at a wrapped line's end
@@ -188,9 +191,8 @@ def count_edges(book: str | None, page: int | None, text: str, counts: dict) ->
     last = len(lines) - 1
     width = 0.8 * max(map(len, lines)) if last > 3 else 0
     for n, s in enumerate(lines):
-        size = len(s)
         inside = 1 < n < last - 1
-        if size > LONGEST or inside and (size > width or size > 48) or _INNER.search(s) or not _LETTERS.search(s):
+        if inside and len(s) > width or _INNER.search(s) or not _LETTERS.search(s):
             continue
         numbered = not inside and _numbered(s, page)
         for k in keys_of(s):
@@ -235,10 +237,9 @@ class Detector:
         full = [i for i, (a, b) in enumerate(spans) if b > a and not text[a:b].isspace()]
         out = set()
         last = len(full) - 1
+        width = max(48, 0.8 * max((spans[i][1] - spans[i][0] for i in full), default=0))
         for rank, i in enumerate(full):
             a, b = spans[i]
-            if b - a > LONGEST:
-                continue
             s = text[a:b]
             edge = rank < EDGE or rank > last - EDGE
             if b - a <= 40:
@@ -252,7 +253,7 @@ class Detector:
                 elif _MARK_SIGN.search(s) and is_scan_mark(s):
                     out.add(i)
                     continue
-            if (edge or b - a <= 48) and not _INNER.search(s) and _LETTERS.search(s):
+            if (edge or b - a <= width) and not _INNER.search(s) and _LETTERS.search(s):
                 if self.running(book, s, edge):
                     out.add(i)
         return out
