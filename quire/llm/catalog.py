@@ -57,13 +57,16 @@ def p6_matches(spark: SparkSession, sf: str) -> DataFrame:
     return leakage.leaked_items(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
 
 
+def _mix(spark: SparkSession, sf: str) -> mixing.Mix:
+    return mixing.mixture(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))
+
+
 def p7_mix(spark: SparkSession, sf: str) -> DataFrame:
-    mixed, _, _ = mixing.mixture(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))
-    return mixed
+    return _mix(spark, sf).mixed
 
 
 def p7_shares(spark: SparkSession, sf: str) -> DataFrame:
-    return mixing.mix_report(*mixing.mixture(table(spark, sf, "documents"), table(spark, sf, "mix_targets")))
+    return mixing.mix_report(_mix(spark, sf))
 
 
 def _levels(spark: SparkSession, sf: str) -> DataFrame:

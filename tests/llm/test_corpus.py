@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quire.llm import leakage, mixing, readlevel
 
@@ -74,12 +75,14 @@ def test_rake_reaches_the_shares_within_the_caps():
     tokens = np.array([100.0, 300, 50, 50, 10])
     source = np.array([0, 0, 1, 1, 2])
     lang = np.array([0, 1, 0, 1, 0])
-    w, total = mixing.rake(tokens, source, [lang], np.array([0.5, 0.4, 0.1]), np.array([2.0, 3, 4]))
+    w, total, rounds, error = mixing.rake(tokens, source, [lang], np.array([0.5, 0.4, 0.1]), np.array([2.0, 3, 4]))
     got = np.bincount(source, tokens * w, 3)
     assert np.allclose(got / got.sum(), [0.5, 0.4, 0.1], atol=1e-6) and total == pytest.approx(400)
     assert (w <= np.array([2, 2, 3, 3, 4]) + 1e-9).all()
-    w, total = mixing.rake(tokens, source, [lang], np.array([0.0, 0, 0]), np.array([1.0, 1, 1]))
+    assert rounds <= mixing.ROUNDS and error < 1e-6
+    w, total, *_ = mixing.rake(tokens, source, [lang], np.array([0.0, 0, 0]), np.array([1.0, 1, 1]))
     assert total == 0 and not w.any()
+    assert mixing.rake(tokens, source, [lang], np.array([0.5, 0.5, 0]), np.array([0.0, 1, 1])).total == 0
 
 
 def test_mixture(spark, monkeypatch):
@@ -88,10 +91,14 @@ def test_mixture(spark, monkeypatch):
     d = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, title string")
     rows = [("p", "big", 0.5, 1), ("p", "small", 0.5, 2), ("p", "none", 0.3, None), ("p", "nothing", None, None)]
     t = spark.createDataFrame(rows, "plan string, source string, target_share double, max_repeats int")
-    report = {r.source: r for r in mixing.mix_report(*mixing.mixture(d, t)).collect()}
+    rows = mixing.mix_report(mixing.mixture(d, t)).collect()
+    report = {r.name: r for r in rows if r.margin == "source"}
+    for m in ("source", "lang", "topic"):
+        assert sum(r.actual_share for r in rows if r.margin == m) == pytest.approx(1, abs=1e-5)
+    assert {r.name for r in rows if r.margin == "lang"} == {"en"} and all(r.error < 1e-6 for r in rows)
     assert abs(report["big"].actual_share - 0.5) < 0.03 and report["small"].most_copies <= 2
     assert report["none"].mixed_tokens == 0 and report["none"].documents == 0
-    mixed, _, _ = mixing.mixture(d, t)
+    mixed = mixing.mixture(d, t, topic=F.col("source")).mixed
     assert mixed.where("source NOT IN ('big', 'small')").count() == 0
     a, b = (sorted(map(tuple, mixing.mixture(d, t)[0].collect())) for _ in range(2))
     assert a == b
