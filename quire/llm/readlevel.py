@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import spread, written
 from .leakage import forms
 
 LEVELS = 5
@@ -41,7 +41,7 @@ LENGTH_WEIGHT = 10.0  # a sentence's length speaks for the whole sentence
 LEAST = 20
 PROBE = 40  # characters of a test item that mark a passage of it
 PROBE_STEP = 8
-ITEM_LIMIT = 2_000_000  # characters of items that are sent to all executors
+BLOCK = 2_000_000  # characters of items that are sent to all executors at once
 
 LANGUAGES = ("other", "zh", "ja", "th", "hi", "en", "fr", "de")
 # Frequent words that tell Latin-script languages apart.
@@ -171,19 +171,44 @@ class Probes:
         return np.cumsum(step[:-1]) > 0
 
 
-def units(texts: list[str], probes: Probes | None = None):
-    """Units of many texts at once.
+def joined(texts: list[str]) -> np.ndarray:
+    """Code units of texts, each ended by 0xFFFF."""
+    return np.frombuffer("".join(t + "\uffff" for t in texts).encode("utf-16-le", "surrogatepass"), np.uint16)
+
+
+def packed(mask: np.ndarray | None, ends: np.ndarray) -> list[bytes | None]:
+    """Marked positions of each text as bits; None where there are none."""
+    if mask is None:
+        return [None] * len(ends)
+    return [np.packbits(m).tobytes() if m.any() else None for m in np.split(mask, ends[:-1] + 1)]
+
+
+def unpacked(bits: list[bytes | None], ends: np.ndarray) -> np.ndarray | None:
+    if not any(bits):
+        return None
+    sizes = np.diff(np.concatenate([[-1], ends]))
+    return np.concatenate(
+        [np.unpackbits(np.frombuffer(b, np.uint8), count=n) if b else np.zeros(n, np.uint8) for b, n in zip(bits, sizes, strict=True)]
+    ).astype(bool)
+
+
+def units(texts: list[str], probes: Probes | None = None, marked: list[bytes | None] | None = None):
+    """Units of many texts at once.  marked: positions that other probes have
+    found already (``packed``).
 
     Returns (document, bucket, weight class: 0 content, 1 length, 2 pooled
     length) of all units, and letters and language of each document.
     """
     n = len(texts)
-    raw = np.frombuffer("".join(t + "￿" for t in texts).encode("utf-16-le", "surrogatepass"), np.uint16)
+    raw = joined(texts)
     lower, kinds = tables()
     codes, kind = lower[raw].astype(np.uint64), kinds[raw].copy()
     ends = np.flatnonzero(raw == 0xFFFF)
     doc = np.repeat(np.arange(n), np.diff(np.concatenate([[0], ends + 1])))
     masked = probes.mark(raw) if probes is not None else None
+    before = unpacked(marked, ends) if marked is not None else None
+    if before is not None:
+        masked = before if masked is None else masked | before
     if masked is not None:
         share = np.bincount(doc, masked, n) / np.maximum(np.bincount(doc, None, n), 1)
         masked &= share[doc] < 0.9  # a document that is all passage keeps its text
@@ -251,8 +276,8 @@ class Model:
                 w = np.log((c + prior * share) / (share * (c.sum(1, keepdims=True) + prior)))
                 self.weights[a:b] = w * weight
 
-    def scores(self, texts: list[str], probes: Probes | None = None):
-        (doc, bucket, cls), letters, lang = units(texts, probes)
+    def scores(self, texts: list[str], probes: Probes | None = None, marked: list[bytes | None] | None = None):
+        (doc, bucket, cls), letters, lang = units(texts, probes, marked)
         out = np.zeros((len(texts), LEVELS))
         known = self.seen[lang] > 0
         mine = np.where(known[doc], cls < 2, cls == 2)
@@ -274,18 +299,49 @@ def gold_levels(labels: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     )
 
 
-def _item_probes(items: DataFrame | None, text: str) -> list[str]:
+def _item_blocks(items: DataFrame | None, text: str) -> list[list[str]]:
+    """The items in blocks of at most BLOCK characters, a longer item alone."""
     if items is None:
         return []
-    out, size = [], 0
+    out: list[list[str]] = []
+    size = 0
     for (t,) in items.select(text).where(F.col(text).isNotNull()).toLocalIterator():
+        if not out or size + len(t) > BLOCK:
+            out.append([])
+            size = 0
+        out[-1].append(t)
         size += len(t)
-        if size > ITEM_LIMIT:
-            raise ValueError(f"items have over {ITEM_LIMIT} characters; pass them in parts")
-        out.append(t)
     return out
 
 
+def _with_marks(rows: DataFrame, blocks: list[list[str]]) -> DataFrame:
+    """Adds ``m``, the positions of own text that lie in an item of the
+    blocks; rows: columns t and others.  Each block is a pass of its own over
+    the rows, so that no executor holds more than one; passes are cut by
+    written tables."""
+    rows = rows.withColumn("m", F.lit(None).cast("binary"))
+    names = rows.columns
+    for block in blocks:
+        given = rows.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches, given=given):
+            probes = Probes(given.value)
+            for batch in batches:
+                t = pa.Table.from_batches([batch])
+                texts = [own_text(x) for x in t.column("t").to_pylist()]
+                marks = t.column("m").to_pylist()
+                if texts:
+                    raw = joined(texts)
+                    ends = np.flatnonzero(raw == 0xFFFF)
+                    here, before = probes.mark(raw), unpacked(marks, ends)
+                    if here is not None:
+                        marks = packed(here if before is None else here | before, ends)
+                yield from t.drop(["m"]).append_column("m", pa.array(marks, pa.binary())).select(names).to_batches()
+
+        rows = written(rows.mapInArrow(run, rows.schema), "marks")
+    return rows
+
+
 def fit(
     documents: DataFrame,
     labels: DataFrame,
@@ -296,10 +352,11 @@ def fit(
 ) -> Model:
     """Fits the unigram models on at most ``limit`` graded documents."""
     gold = gold_levels(labels, doc_id).orderBy(F.xxhash64(doc_id), doc_id).limit(limit)
-    probe_texts = _item_probes(items, "text")
+    blocks = _item_blocks(items, "text")
+    given = documents.sparkSession.sparkContext.broadcast(blocks[-1] if blocks else [])
 
     def run(batches):
-        probes = Probes(probe_texts) if probe_texts else None
+        probes = Probes(given.value) if given.value else None
         counts = np.zeros(BUCKETS * LEVELS, np.int64)
         seen = np.zeros(len(LANGUAGES), np.int64)
         for batch in batches:
@@ -307,7 +364,7 @@ def fit(
             level = np.array(batch.column("level").to_pylist(), np.int64) - 1
             if not texts:
                 continue
-            (doc, bucket, cls), letters, lang = units(texts, probes)
+            (doc, bucket, cls), letters, lang = units(texts, probes, batch.column("m").to_pylist())
             good = letters[doc] >= LEAST
             counts += np.bincount(bucket[good] * LEVELS + level[doc[good]], None, BUCKETS * LEVELS)
             seen += np.bincount(lang[letters >= LEAST], None, len(LANGUAGES))
@@ -316,10 +373,13 @@ def fit(
         key = np.concatenate([key, -1 - np.arange(len(LANGUAGES))])
         yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
 
-    rows = (
+    graded = (
         spread(documents.select(F.col(doc_id).alias(doc_id), F.col(text).alias("t")).where("t IS NOT NULL"))
         .join(F.broadcast(gold), doc_id)
         .select("t", "level")
+    )
+    rows = (
+        _with_marks(graded, blocks[:-1])
         .mapInArrow(run, "key long, n long")
         .groupBy("key")
         .agg(F.sum("n").alias("n"))
@@ -350,10 +410,11 @@ def reading_levels(
     their best, for each 100 letters.  Ties go to the lower level.
     """
     model = fit(documents, labels, items, doc_id, text) if model is None else model
-    given = documents.sparkSession.sparkContext.broadcast((model, _item_probes(items, "text")))
+    blocks = _item_blocks(items, "text")
+    given = documents.sparkSession.sparkContext.broadcast((model, blocks[-1] if blocks else []))
 
-    def score(model, probes, ids, texts):
-        s, letters, lang = model.scores(texts, probes)
+    def score(model, probes, ids, texts, marks):
+        s, letters, lang = model.scores(texts, probes, marks)
         level = s.argmax(1) + 1
         margin = (s[:, 3:].max(1) - s[:, :3].max(1)) / np.maximum(letters, 1) * 100
         ok = np.flatnonzero(letters >= LEAST)
@@ -370,20 +431,18 @@ def reading_levels(
     def run(batches):
         model, probe_texts = given.value
         probes = Probes(probe_texts) if probe_texts else None
-        ids, texts, size = [], [], 0
+        ids, texts, marks, size = [], [], [], 0
         for batch in batches:
-            for i, t in zip(batch.column("k").to_pylist(), batch.column("t").to_pylist(), strict=True):
+            for i, t, m in zip(*(batch.column(c).to_pylist() for c in "ktm"), strict=True):
                 ids.append(i)
                 texts.append(own_text(t))
+                marks.append(m)
                 size += len(texts[-1])
                 if size >= CHARACTERS:
-                    yield score(model, probes, ids, texts)
-                    ids, texts, size = [], [], 0
+                    yield score(model, probes, ids, texts, marks)
+                    ids, texts, marks, size = [], [], [], 0
         if ids:
-            yield score(model, probes, ids, texts)
+            yield score(model, probes, ids, texts, marks)
 
-    return (
-        spread(
-            documents.select(F.col(doc_id).cast("long").alias("k"), F.col(text).alias("t")).where("t IS NOT NULL AND t <> ''")
-        ).mapInArrow(run, "doc_id long, lang string, level int, margin double")
-    )
+    rows = spread(documents.select(F.col(doc_id).cast("long").alias("k"), F.col(text).alias("t")).where("t IS NOT NULL AND t <> ''"))
+    return _with_marks(rows, blocks[:-1]).mapInArrow(run, "doc_id long, lang string, level int, margin double")

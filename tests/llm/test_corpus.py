@@ -143,6 +143,22 @@ def test_levels(spark):
     assert readlevel.reading_levels(d, lab.limit(0)).count() == 252
 
 
+def test_items_in_blocks_mask_as_one(spark, monkeypatch):
+    docs, labels = graded()
+    items = [passage(50 + i, 60) for i in range(6)]
+    docs += [(910 + i, EASY * 8 + x + EASY + items[(i + 1) % 6]) for i, x in enumerate(items)]
+    labels += [(910 + i, "a", 1) for i in range(6)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    lab = spark.createDataFrame(labels, "doc_id long, rater string, grade int")
+    it = spark.createDataFrame([(x,) for x in items], "text string")
+    want = sorted(map(tuple, readlevel.reading_levels(d, lab, it).collect()))
+    monkeypatch.setattr(readlevel, "BLOCK", 2 * max(map(len, items)))
+    assert len(readlevel._item_blocks(it, "text")) >= 3
+    assert sorted(map(tuple, readlevel.reading_levels(d, lab, it).collect())) == want
+    monkeypatch.setattr(readlevel, "BLOCK", 10)  # each item alone, however long
+    assert len(readlevel._item_blocks(it, "text")) == 6
+
+
 def test_held_out(spark):
     docs, labels = graded()
     d = spark.createDataFrame(docs, "doc_id long, text string")
