@@ -160,6 +160,11 @@ def is_scan_mark(line: str) -> bool:
 def split_lines(text: str) -> list[tuple[int, int]]:
     """(start, end) of each line without its break."""
     out, at = [], 0
+    if "\r" not in text:
+        for line in text.split("\n"):
+            out.append((at, at + len(line)))
+            at += len(line) + 1
+        return out
     for m in BREAK.finditer(text):
         out.append((at, m.start()))
         at = m.end()
@@ -167,6 +172,12 @@ def split_lines(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def stray_width(longest: int) -> float:
+    """How long a running line inside a page may be: well shorter than the
+    text's own lines, where those are long.  At an edge it may have any length."""
+    return max(48, 0.6 * longest)
+
+
 def _numbered(line: str, page: int | None) -> bool:
     """A line with text that begins or ends with the page's number."""
     if page is None or not _DIGIT.search(line):
@@ -189,7 +200,8 @@ def count_edges(book: str | None, page: int | None, text: str, counts: dict) ->
     mask = 1 << ((page or 0) % 64)
     book = str(book)
     last = len(lines) - 1
-    width = 0.8 * max(map(len, lines)) if last > 3 else 0
+    longest = max(map(len, lines), default=0)
+    width = min(0.8 * longest, stray_width(longest)) if last > 3 else 0
     for n, s in enumerate(lines):
         inside = 1 < n < last - 1
         if inside and len(s) > width or _INNER.search(s) or not _LETTERS.search(s):
@@ -237,7 +249,7 @@ class Detector:
         full = [i for i, (a, b) in enumerate(spans) if b > a and not text[a:b].isspace()]
         out = set()
         last = len(full) - 1
-        width = max(48, 0.8 * max((spans[i][1] - spans[i][0] for i in full), default=0))
+        width = stray_width(max((spans[i][1] - spans[i][0] for i in full), default=0))
         for rank, i in enumerate(full):
             a, b = spans[i]
             s = text[a:b]

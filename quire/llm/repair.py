@@ -290,7 +290,12 @@ class Reader:
                             cuts[k] = head
                             out.append((body[k] + 1, "broken_word"))
             words = set(_LATIN.findall(whole.lower()))
-            wrong = {w for w in words if self.undo(w) or _MIXED.search(w) and not _ORDINAL.match(w) and len(w) < 30}
+            known = self.words
+            wrong = {
+                w for w in words
+                if (known[w] if w in known else self.undo(w))
+                or not w.isalpha() and len(w) < 30 and _MIXED.search(w) and not _ORDINAL.match(w)
+            }
             if cuts or wrong:
                 self._misread_latin(forms, cuts, wrong, bad)
         out += [(body[k] + 1, "misread") for k in bad]
@@ -318,7 +323,7 @@ class Reader:
 
     def _cut_at(self, k: int, raw: str, forms: list[str]) -> str | None:
         """The head of a word that a hyphen cuts at the end of line k."""
-        line = forms[k].rstrip()
+        line = forms[k].rsplit(None, 1)[-1] if forms[k] and not forms[k].isspace() else ""  # a cut word has no blank
         soft = raw.rstrip()[-1:] in "\u00ad¬"
         m = _CUT.search(line) or (soft and _TAIL.search(line))
         if not m:

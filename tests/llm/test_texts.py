@@ -169,7 +169,7 @@ def test_faults(spark):
 def test_long_running_lines_are_furniture(spark):
     header = "The Collected Notes on Procurement and Allocation of the Upper River Markets in the Years of the Copper Lantern and After It"
     rows = [(n, "b1", n, f"{header} {n}\nText of page {'x' * n} goes on here.\nIt ends here.", None) for n in range(1, 13)]
-    rows.append((90, "b2", 1, f"Text begins here and then it goes on for longer than anything else that stands upon this page of the book, to its end, {'x' * 60}.\na\nb\n{header}\nc\nd\nIt ends.", None))
+    rows.append((90, "b2", 1, f"Text begins here and then it goes on for longer than anything else that stands upon this page of the book, to its end, {'x' * 110}.\na\nb\n{header}\nc\nd\nIt ends.", None))
     df = spark.createDataFrame(rows, "page_key long, book_id string, page int, text_layer string, native_text string")
     got = {(r.page_key, r.line_no) for r in repair.line_faults(df).where("kind = 'furniture'").collect()}
     assert got >= {(n, 1) for n in range(1, 13)} | {(90, 4)} and not {(n, 2) for n in range(1, 13)} & got
