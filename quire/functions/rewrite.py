@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from .text import CJK
 
 _C = f"[{CJK}]"
-_GAP = r"[ \t\x{3000}]{0,16}"
+_GAP = r"[ \t\x{3000}]{0,64}"  # look-behinds need a bound
 # ASCII marks and their full-width forms.
 FULL_WIDTH = {",": "，", ".": "。", ";": "；", ":": "：", "?": "？", "!": "！", "(": "（", ")": "）"}
+# Characters that often stand for another.
 SUSPECTS = "砚口义巳已目戡仁场习丽宫乾趴讥翻戍芸"
 
 
@@ -36,13 +37,18 @@ def count_repeated(c: Column) -> Column:
     return F.regexp_count(c, F.lit(r"([。，、；：？！,.;:?!“”])\1+"))
 
 
+# What scanning leaves behind, and lines that number a page.
+NOISE = r"‖…?\s*[oO]?\s*", r"\.{3,}\s*[oO]?\s*$", r"‖", r"…{2,}"
+FOOTERS = r"^第\s*\d+\s*页[\s/上中下]*$", r"^-\s*\d+\s*-\s*$", r"^\d+/\d+$"
+
+
 def count_noise(c: Column) -> Column:
     """D: marks that scanning leaves behind."""
-    return F.regexp_count(c, F.lit(r"(?md)(?:‖…?\s*[oO]?\s*|\.{3,}\s*[oO]?\s*$|‖|…{2,})"))
+    return F.regexp_count(c, F.lit("(?md)(?:" + "|".join(NOISE) + ")"))
 
 
 def count_footers(c: Column) -> Column:
-    return F.regexp_count(c, F.lit(r"(?md)^第\s*\d+\s*页[\s/上中下]*$|^-\s*\d+\s*-\s*$|^\d+/\d+$"))
+    return F.regexp_count(c, F.lit("(?md)" + "|".join(FOOTERS)))
 
 
 def count_suspects(c: Column) -> Column:
@@ -58,9 +64,24 @@ def count_invisible(c: Column) -> Column:
     return F.regexp_count(c, F.lit(r"[\x{200B}-\x{200D}\x{2060}\x{FEFF}]"))
 
 
+_MARK = "[,.;:?!()]"
+# For each rule: what it matches, what it puts there, and why.
+PATTERNS = {
+    "A": [(f" (?<={_C} )(?={_C})", "", "blank between Chinese characters")],
+    "B": [(f"{_MARK}(?<![A-Za-z0-9]{_MARK})(?:(?<={_C}{_MARK})|(?={_C}))(?![A-Za-z0-9])", "", "ASCII mark in Chinese text")],
+    "C": [(r"(?<mark>[。，、；：？！])\k<mark>+", "${mark}", "repeated mark")],
+    "D": [
+        (r"(?mdU)(?:‖…*[oO]? *|‖ *|\.{3,}\s*[oO]?\s*$)", "", "scanning noise"),
+        (r"(?mdU)^\s*(?:第\s*\d+\s*页[\s/上中下]*|-\s*\d+\s*-|\d+/\d+)\s*$", "", "page footer"),
+    ],
+    "E": [],
+    "G": [("\u3000", " ", "full-width blank")],
+}
+
+
 def rule_a(c: Column) -> Column:
     """Deletes one ASCII space between two Chinese characters."""
-    return F.regexp_replace(c, f" (?<={_C} )(?={_C})", "")
+    return F.regexp_replace(c, PATTERNS["A"][0][0], "")
 
 
 def rule_b(c: Column) -> Column:
@@ -79,8 +100,9 @@ def rule_c(c: Column) -> Column:
 
 def rule_d(c: Column) -> Column:
     """Deletes scanning noise, then page footers."""
-    c = F.regexp_replace(c, r"(?mdU)‖…*[oO]? *|‖ *|\.{3,}\s*[oO]?\s*$", "")
-    return F.regexp_replace(c, r"(?mdU)^\s*(?:第\s*\d+\s*页[\s/上中下]*|-\s*\d+\s*-|\d+/\d+)\s*$", "")
+    for pattern, new, _ in PATTERNS["D"]:
+        c = F.regexp_replace(c, pattern, new)
+    return c
 
 
 # wrong, right, set before, what follows; by the sets that the rule's gate lets
@@ -97,12 +119,16 @@ MISREAD = (
 )
 
 
+PATTERNS["E"] = [
+    ((f"(?<={before}{_GAP}{w})" if before else "").join((w, after)), right, f"{w} read for {right}") for w, right, before, after in MISREAD
+]
+
+
 def rule_e(c: Column, wrong: str | None = None) -> Column:
     """Undoes certain confusions of characters, all or one of them."""
-    for w, right, before, after in MISREAD:
+    for (w, *_), (pattern, right, _) in zip(MISREAD, PATTERNS["E"], strict=True):
         if wrong in (None, w):
-            behind = f"(?<={before}{_GAP}{w})" if before else ""
-            c = F.regexp_replace(c, w + behind + after, right)
+            c = F.regexp_replace(c, pattern, right)
     return c
 
 

@@ -7,6 +7,8 @@ makes ``\\s`` Unicode, ``(?d)`` makes ``$`` see line feeds only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ WARNING_PREFIX = "> [!warning] 本页"
 # Words that no search is made for.
 STOPWORDS = "的 了 是 在 和 与 及 或 对 由 将 这 那 一个 一种".split()
 PRIMARY_KINDS = ("article", "course")
+# What keys and tokens of services look like.
 SECRETS = (
     r"\bgh[pousr]_[A-Za-z0-9_]{20,}\b",
     r"\bsk-[A-Za-z0-9_-]{20,}\b",
@@ -33,6 +36,11 @@ def _quote(s: str) -> str:
     return "\\Q" + s + "\\E"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def newlines(c: Column) -> Column:
     return F.regexp_replace(c, "\r\n?", "\n")
 
@@ -54,14 +62,16 @@ def frontmatter_map(c: Column) -> Column:
     lines = F.filter(F.split(frontmatter(c), "\n"), lambda x: x.rlike(r"^[^\s:#][^:]*:"))
     entries = F.transform(
         lines,
-        lambda x: F.struct(
+        lambda x, i: F.struct(
             F.trim(F.regexp_extract(x, r"^([^:]+):", 1)).alias("key"),
+            i.alias("i"),
             F.regexp_replace(F.trim(F.regexp_extract(x, r"^[^:]+:(.*)$", 1)), r"^[\"'](.*)[\"']$", "$1").alias("value"),
         ),
     )
-    last = F.filter(
-        F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), e["value"].alias("value"), i.alias("i"))),
-        lambda e: ~F.exists(F.slice(entries, e["i"] + 2, F.size(entries)), lambda o: o["key"] == e["key"]),
+    # sorted by key and place, the last of each key is the one before another key
+    last = let(
+        F.array_sort(entries),
+        lambda e: F.filter(e, lambda x, i: ~F.coalesce(F.get(e, i + 1)["key"] == x["key"], F.lit(False))),
     )
     return F.map_from_entries(F.transform(last, lambda e: F.struct(e["key"], e["value"])))
 
@@ -263,6 +273,19 @@ def in_layer(path: Column, layers: list[str]) -> Column:
     return F.arrays_overlap(F.split(path, "/"), F.array(*[F.lit(x) for x in layers]))
 
 
+def path_state(path: Column, root: str, layer: str, original: str, suffix: str = ".md") -> Column:
+    """'ok', or why a path may not be edited: 'outside' the root (or leaving
+    it), 'not_in_layer', 'original' or 'suffix'."""
+    parts = F.split(path, "/")
+    return (
+        F.when(path.isNull() | ~path.startswith(root.rstrip("/") + "/") | F.array_contains(parts, "..") , "outside")
+        .when(~F.array_contains(parts, layer), "not_in_layer")
+        .when(F.array_contains(parts, original), "original")
+        .when(~F.lower(path).endswith(suffix), "suffix")
+        .otherwise("ok")
+    )
+
+
 def protected_part(path: Column, c: Column, head: str, start: str, end: str) -> Column:
     """What an edit must leave as it is: for paths under ``head`` the text
     before the start marker, under 'course' what is between both markers, else
@@ -336,6 +359,7 @@ def compare_scored(a: Column, b: Column, score: Column) -> Column:
 
 def question_kind(c: Column) -> Column:
     """Kind of a question by the first keyword list with a hit."""
+    # Words of each kind, in order.
     kinds = (
         ("knowledge_search", "查找|搜索|检索|查询"),
         ("knowledge_organize", "整理|组织|分类|归纳"),

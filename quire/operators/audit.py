@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # Kinds of files by suffix and folder.
 MEDIA = ".mp3 .mp4 .mov .flv .wav .m4a .avi .mkv".split()
@@ -35,15 +36,18 @@ def reconcile(old: DataFrame, new: DataFrame) -> DataFrame:
 
     New files of a size that no old file has drop out before anything is
     compared by hash; matches are grouped first, so an old file stays one row.
-    A null hash matches nothing; size -1 marks an unreadable file.
+    A null hash matches nothing; size -1 marks an unreadable file.  ``listed``
+    shows the first ``SAMPLE`` matches; ``matched_files`` has them all.
     """
-    sizes = old.select("size").distinct()
-    by_hash = (
-        new.join(sizes, "size", "left_semi")
-        .where("hash IS NOT NULL")
+    same_size = new.join(old.select("size").distinct(), "size", "left_semi").where("hash IS NOT NULL")
+    w = Window.partitionBy("hash").orderBy("path")
+    shown = (
+        same_size.withColumn("r_", F.row_number().over(w)).where(F.col("r_") <= SAMPLE)
         .groupBy("hash")
-        .agg(F.count("*").alias("matches"), F.min("path").alias("first_match"))
-    )
+        .agg(F.array_join(F.array_sort(F.collect_list("path")), " | ").alias("listed"))
+    )
+    counted = same_size.groupBy("hash").agg(F.count("*").alias("matches"), F.min("path").alias("first_match"))
+    by_hash = counted.join(shown, "hash")
     doubles = old.where("hash IS NOT NULL").groupBy("hash").agg(F.count("*").alias("old_copies"))
     return (
         old.join(by_hash, "hash", "left")
@@ -58,6 +62,14 @@ def reconcile(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+def matched_files(old: DataFrame, new: DataFrame) -> DataFrame:
+    """side, path, hash of all files whose content is on both sides: the files
+    of one hash are a class, so copies make no pairs."""
+    both = old.where("hash IS NOT NULL").select("hash").intersect(new.where("hash IS NOT NULL").select("hash"))
+    rows = old.select(F.lit("old").alias("side"), "path", "hash").unionByName(new.select(F.lit("new").alias("side"), "path", "hash"))
+    return rows.join(both, "hash", "left_semi").select("side", "path", "hash")
+
+
 def totals(files: DataFrame) -> DataFrame:
     """Files, bytes and GiB of each category."""
     size = F.sum(F.greatest("size", F.lit(0)))

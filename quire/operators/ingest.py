@@ -12,7 +12,7 @@ def pages_of_markdown(documents: DataFrame, key: str, text: str = "text") -> Dat
     """key, page, page_text of '## Page N' sections; texts without one have no
     rows.  Page texts are cleaned."""
     body = X.body(F.col(text))
-    parts = F.slice(F.split(body, r"(?m)^(?=## Page \d+[ \t]*$)"), 1, 1_000_000)
+    parts = F.split(body, r"(?m)^(?=## Page \d+[ \t]*$)")
     return (
         documents.select(key, F.explode(parts).alias("part"))
         .where(F.col("part").rlike(r"\A## Page \d+[ \t]*(?:\n|\z)"))
@@ -44,6 +44,17 @@ def page_gaps(pages: DataFrame, by: str, page: str = "page") -> DataFrame:
     )
 
 
+def page_differences(pages: DataFrame, books: DataFrame) -> DataFrame:
+    """book_id, page, code: 'missing' and 'unexpected' pages of books against
+    1..pages.  Books without a page count expect none."""
+    have = pages.where("page IS NOT NULL").select("book_id", "page").distinct()
+    want = books.where("pages > 0").select("book_id", F.explode(F.sequence(F.lit(1), F.col("pages"))).alias("page"))
+    ours = have.join(books.select("book_id"), "book_id", "left_semi")
+    return want.join(have, ["book_id", "page"], "left_anti").withColumn("code", F.lit("missing")).unionByName(
+        ours.join(want, ["book_id", "page"], "left_anti").withColumn("code", F.lit("unexpected"))
+    )
+
+
 def coalesce_pages(
     pages: DataFrame, manual: DataFrame, blank: DataFrame, short: DataFrame, threshold: Column | int = 50
 ) -> DataFrame:
@@ -134,6 +145,82 @@ def manifest_problems(books: DataFrame) -> DataFrame:
     return single.unionByName(double)
 
 
+def manifest_cardinality(manifest: DataFrame, compiled: DataFrame, key: str) -> DataFrame:
+    """key, found: compiled documents that have not exactly one manifest row."""
+    k = F.upper(F.trim(key))
+    rows = manifest.where(F.col(key).isNotNull()).groupBy(k.alias(key)).agg(F.count("*").alias("n"))
+    want = compiled.where(F.col(key).isNotNull()).select(k.alias(key)).distinct()
+    return want.join(rows, key, "left").select(key, F.coalesce("n", F.lit(0)).alias("found")).where("found <> 1")
+
+
+def planned_books(books: DataFrame, ids: list[str] | None = None, sample: int | None = None) -> DataFrame:
+    """Enabled books (all of them, or those of the ids) with their pages, at
+    most ``sample`` of each; by priority and id."""
+    rows = books.where(F.coalesce("enabled", F.lit(True)))
+    rows = rows.where(F.col("book_id").isin(*ids)) if ids is not None else rows
+    pages = F.col("pages") if sample is None else F.least("pages", F.lit(sample))
+    return rows.withColumn("pages", pages).orderBy("priority", "book_id")
+
+
+def sample_range(pages: Column, sample: Column | int) -> Column:
+    """'1-n' with n at most ``sample``; null (all pages) for no sample."""
+    sample = sample if isinstance(sample, Column) else F.lit(sample)
+    return F.when(sample > 0, F.concat(F.lit("1-"), F.least(sample, pages).cast("string")))
+
+
+def select_documents(files: DataFrame, folder: str, order: str, path: str = "path") -> DataFrame:
+    """Files directly in a folder, readme files left out, the first by
+    ``order`` of each path."""
+    inside = F.regexp_replace(F.col(path), r"/?[^/]*$", "") == folder
+    readme = F.lower(F.element_at(F.split(F.col(path), "/"), -1)) == "readme.md"
+    columns = files.columns
+    best = F.min_by(F.struct(*columns), order)
+    return files.where(inside & ~readme).groupBy(F.col(path).alias("k_")).agg(best.alias("r")).select("r.*")
+
+
+def first_across(files: DataFrame, roots: list[str], limit: int, root: str = "root", path: str = "path") -> DataFrame:
+    """The first files over all roots, in the order of the roots, then by path."""
+    rank = F.array_position(F.array(*map(F.lit, roots)), F.col(root))
+    return files.where(F.col(root).isin(*roots)).orderBy(rank, path).limit(limit)
+
+
+def short_empty(coalesced: DataFrame, short: DataFrame) -> DataFrame:
+    """book_id, page of pages verified as short whose final text is empty."""
+    listed = short.select("book_id", "page").distinct()
+    return coalesced.join(listed, ["book_id", "page"], "left_semi").where(X.compact_length(F.col("final_text")) == 0).select("book_id", "page").distinct()
+
+
+def provenance(layers: DataFrame, books: DataFrame, text: str = "text") -> DataFrame:
+    """book_id, path, code of text layers whose front matter contradicts the
+    manifest (book_id, pages, source_hash): 'bad_source_hash', 'page_count',
+    'source_changed'."""
+    m = X.frontmatter_map(F.coalesce(text, F.lit("")))
+    stated = F.upper(F.trim(F.coalesce(F.try_element_at("m", F.lit("source_sha256")), F.lit(""))))
+    rows = layers.select("book_id", "path", m.alias("m")).join(
+        books.select("book_id", F.col("pages").alias("want"), F.upper(F.trim("source_hash")).alias("now")), "book_id"
+    )
+    codes = F.array_compact(
+        F.array(
+            F.when(~stated.rlike("^[0-9A-F]{64}$"), "bad_source_hash"),
+            F.when(~F.try_element_at("m", F.lit("pages")).try_cast("int").eqNullSafe(F.col("want")), "page_count"),
+            F.when(stated.rlike("^[0-9A-F]{64}$") & ~stated.eqNullSafe(F.col("now")), "source_changed"),
+        )
+    )
+    return rows.select("book_id", "path", F.explode(codes).alias("code"))
+
+
+def changed_meanwhile(before: DataFrame, after: DataFrame, path: str = "path") -> DataFrame:
+    """Paths whose hash is another one at the end of a run than at its start."""
+    a = before.select(path, F.lower(F.trim("hash")).alias("a")).distinct()
+    b = after.select(path, F.lower(F.trim("hash")).alias("b")).distinct()
+    return a.join(b, path).where("a <> b").select(path).distinct()
+
+
+def cached(tasks: DataFrame, cache: DataFrame, keys: list[str], ok: Column) -> DataFrame:
+    """Tasks whose result the cache holds: equal signature, and no failure."""
+    return tasks.join(cache.where(ok).select(*keys).distinct(), keys, "left_semi")
+
+
 def page_selection(c: Column, last: Column) -> Column:
     """'1,3-5' -> [1,3,4,5], distinct and sorted; null if a part is out of
     1..last or malformed."""
@@ -164,12 +251,22 @@ def tiles(low: Column, high: Column, height: int = 1600, overlap: int = 60) -> C
     )
 
 
-def compose_text_layer(pages: DataFrame, by: str, text: str = "final_text") -> DataFrame:
-    """One Markdown text for each document from its pages in order.  A group
-    is one document, whose pages fit one row by contract."""
+def compose_text_layer(pages: DataFrame, by: str, text: str = "final_text", head: Column | None = None) -> DataFrame:
+    """One Markdown text for each document from its pages in order, after a
+    head if one is given.  A group is one document, whose pages fit one row by
+    contract."""
     ordered = F.array_sort(F.collect_list(F.struct("page", F.coalesce(F.col(text), F.lit("")).alias("t"))))
     part = lambda p: F.concat(F.lit("## Page "), p["page"].cast("string"), F.lit("\n\n"), p["t"])
-    return pages.groupBy(by).agg(F.array_join(F.transform(ordered, part), "\n\n").alias("markdown"))
+    markdown = F.array_join(F.transform(ordered, part), "\n\n")
+    if head is not None:
+        markdown = F.concat(F.first(F.coalesce(head, F.lit(""))), markdown)
+    return pages.groupBy(by).agg(markdown.alias("markdown"))
+
+
+def layer_head(fields: dict[str, Column], title: Column) -> Column:
+    """Front matter of the fields that are not null, and the title."""
+    lines = F.array_compact(F.array(*[F.concat(F.lit(f"{k}: "), v.cast("string")) for k, v in fields.items()]))
+    return F.concat(F.lit("---\n"), F.array_join(lines, "\n"), F.lit("\n---\n\n# "), F.coalesce(title, F.lit("")), F.lit("\n\n"))
 
 
 def is_text_file(size: Column, first_page: Column) -> Column:

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import rewrite as R
 from ..functions import text as X
 from ..session import spread
 
@@ -54,24 +55,91 @@ def unified_diff(pairs: DataFrame, key: str, before: str, after: str) -> DataFra
     return rows.mapInArrow(run, "key long, added int, removed int, diff string")
 
 
+def marked(c: Column, pattern: str) -> Column:
+    """The text with each match between \\x01 and \\x02."""
+    return F.regexp_replace(c, f"({pattern})", "\x01$1\x02")
+
+
+def logged(df: DataFrame, key: str, steps: dict[str, Column]) -> DataFrame:
+    """key, rule, line, before: one row for each mark that ``marked`` set in
+    the steps' texts; line is 1 and the line feeds before it.  Matching is
+    done in expressions; a marked text is then read once from end to end."""
+    rules = list(steps)
+
+    def run(batches):
+        for batch in batches:
+            out: tuple[list, ...] = ([], [], [], [])
+            for k, *texts in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), strict=True):
+                for rule, text in zip(rules, texts, strict=True):
+                    pieces = text.split("\x01") if text else [""]
+                    line = 1 + pieces[0].count("\n")
+                    for piece in pieces[1:]:
+                        before, _, _ = piece.partition("\x02")
+                        for column, value in zip(out, (k, rule, line, before), strict=True):
+                            column.append(value)
+                        line += piece.count("\n")
+            types = (pa.int64(), pa.string(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types, strict=True)], names=["key", "rule", "line", "before"])
+
+    columns = [c.alias(f"t{i}_") for i, c in enumerate(steps.values())]
+    names = [c for c in df.columns if c != key]
+    rows = spread(df.select(F.col(key).cast("long").alias("key_of_row_"), *names)).select("key_of_row_", *columns)
+    return rows.mapInArrow(run, "key long, rule string, line long, before string")
+
+
 def edit_log(df: DataFrame, key: str, text: str, rules: dict[str, str]) -> DataFrame:
-    """key, rule, line, before: one row for each match of a rule's expression;
-    line is 1 and the line feeds before the match.  Only expressions, no
-    Python: a match's line is counted on the text that precedes it."""
-    out = None
-    for name, pattern in rules.items():
-        marked = F.regexp_replace(F.col(text), f"({pattern})", "\x01$1\x02")
-        pieces = F.split(marked, "\x01")
-        rows = df.select(F.col(key).alias("key"), F.posexplode(pieces).alias("i", "piece"), pieces.alias("all")).where("i > 0")
-        before = F.array_join(F.slice("all", F.lit(1), F.col("i")), "")
-        rows = rows.select(
-            "key",
-            F.lit(name).alias("rule"),
-            (F.regexp_count(before, F.lit("\n")) + 1).cast("long").alias("line"),
-            F.substring_index("piece", "\x02", 1).alias("before"),
-        )
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    """``logged`` for expressions that are each applied to the text itself."""
+    return logged(df, key, {name: marked(F.col(text), pattern) for name, pattern in rules.items()})
+
+
+def rewrite_log(df: DataFrame, key: str, text: str, rules: str = "ABCDEG") -> DataFrame:
+    """key, rule, line, before, after, reason of every edit of the rewriting
+    rules, in their order, each on the text that the one before leaves."""
+    steps, c = {}, F.col(text)
+    for name in (r for r in R.RULES if r in rules):
+        for n, (pattern, _, _) in enumerate(R.PATTERNS[name]):
+            steps[f"{name}{n}"] = marked(c, pattern)
+            c = F.regexp_replace(c, pattern, R.PATTERNS[name][n][1]) if name != "B" else R.rule_b(c)
+    log = logged(df, key, steps)
+    after, reason = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name, parts in R.PATTERNS.items():
+        for n, (_, new, why) in enumerate(parts):
+            here = F.col("rule") == f"{name}{n}"
+            made = F.translate("before", "".join(R.FULL_WIDTH), "".join(R.FULL_WIDTH.values())) if name == "B" else F.substring("before", 1, 1) if new == "${mark}" else F.lit(new)
+            after, reason = F.when(here, made).otherwise(after), F.when(here, why).otherwise(reason)
+    return log.select("key", F.substring("rule", 1, 1).alias("rule"), "line", "before", after.alias("after"), reason.alias("reason"))
+
+
+def edit_totals(df: DataFrame, text: str, rules: str = "ABCDEG") -> DataFrame:
+    """rule, edits: how often each rule of a whole pass changes the texts."""
+    counts, c = [], F.col(text)
+    for name in (r for r in R.RULES if r in rules):
+        n = F.lit(0)
+        for k, (pattern, new, _) in enumerate(R.PATTERNS[name]):
+            n = n + F.regexp_count(c, F.lit(pattern))
+            c = R.rule_b(c) if name == "B" else F.regexp_replace(c, pattern, new)
+        counts.append(F.struct(F.lit(name).alias("rule"), n.cast("long").alias("n")))
+    return df.select(F.inline(F.array(*counts))).groupBy("rule").agg(F.sum("n").alias("edits"))
+
+
+def patch_once(c: Column, patches: list[tuple[str, Column]]) -> Column:
+    """A text with the matches of several expressions replaced, as struct
+    (text, failed).  Each must match exactly once; ``failed`` numbers (from 1)
+    those that do not, and then the text is null.  In a replacement $1 is the
+    first group."""
+    out, failed = c, []
+    for n, (pattern, new) in enumerate(patches, 1):
+        failed.append(F.when(F.regexp_count(c, F.lit(pattern)) != 1, F.lit(n)))
+        out = F.regexp_replace(out, F.lit(pattern), new)
+    bad = F.array_compact(F.array(*failed))
+    return F.struct(F.when(F.size(bad) == 0, out).alias("text"), bad.alias("failed"))
+
+
+def swap_note(c: Column, old: str, new: str) -> Column:
+    """The text with one note put in place of another: null unless it holds
+    exactly one of the two, exactly once."""
+    count = lambda x: F.regexp_count(c, F.lit("\\Q" + x + "\\E"))
+    return F.when((count(old) == 1) & (count(new) == 0), F.replace(c, F.lit(old), F.lit(new))).when((count(old) == 0) & (count(new) == 1), c)
 
 
 def review_problems(plans: DataFrame, documents: DataFrame) -> DataFrame:
@@ -96,6 +164,81 @@ def review_problems(plans: DataFrame, documents: DataFrame) -> DataFrame:
     return plans.join(now, "path", "left").select("review_id", F.explode(codes).alias("code"))
 
 
+def plan_problems(plans: DataFrame, documents: DataFrame) -> DataFrame:
+    """review_id, code of whole review plans (review_id, version, root, path,
+    text_hash, source_hash) against the documents now (path, root, text_hash,
+    source_hash, stated_hash, pages, headings).
+
+    Codes: 'version', 'unknown_path', 'root', 'text_changed',
+    'source_changed', 'provenance' (the text states another source),
+    'page_sequence' (its page headings are not 1..n), 'page_count'.
+    """
+    plain = lambda c: F.lower(F.trim(c))
+    now = documents.groupBy("path").agg(F.max_by(F.struct(*[c for c in documents.columns if c != "path"]), "text_hash").alias("now"))
+    d = F.col("now")
+    codes = F.array_compact(
+        F.array(
+            F.when(~F.col("version").eqNullSafe(1), "version"),
+            F.when(d.isNull(), "unknown_path"),
+            F.when(d.isNotNull() & ~F.col("root").eqNullSafe(d["root"]), "root"),
+            F.when(d.isNotNull() & ~plain("text_hash").eqNullSafe(plain(d["text_hash"])), "text_changed"),
+            F.when(d.isNotNull() & ~plain("source_hash").eqNullSafe(plain(d["source_hash"])), "source_changed"),
+            F.when(d.isNotNull() & ~plain("source_hash").eqNullSafe(plain(d["stated_hash"])), "provenance"),
+            F.when(d.isNotNull() & ~F.coalesce(d["headings"] == F.transform(d["headings"], lambda _, i: i + 1), F.lit(False)), "page_sequence"),
+            F.when(d.isNotNull() & ~F.size(d["headings"]).eqNullSafe(d["pages"]), "page_count"),
+        )
+    )
+    return plans.join(now, "path", "left").select("review_id", F.explode(codes).alias("code"))
+
+
+def page_problems(plans: DataFrame, entries: DataFrame, evidence: DataFrame, files: DataFrame, pages: DataFrame) -> DataFrame:
+    """review_id, page, code of the pages that plans select.
+
+    entries: review_id, path, page, approved, reviewer, reason, replacement;
+    evidence: review_id, page, path, hash; files: path, hash of what is there
+    now; pages: path, page of the texts' pages.  Codes: 'no_pages' (page null),
+    'unknown_page', 'double_page', 'not_approved', 'no_reviewer', 'no_reason',
+    'no_evidence', 'evidence_changed', 'page_heading'.
+    """
+    blank = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) == ""
+    keys = ["review_id", "page"]
+    there = pages.select("path", "page").distinct().withColumn("known", F.lit(True))
+    shown = evidence.groupBy(*keys).agg(F.count("*").alias("shown"))
+    single = (
+        entries.join(there, ["path", "page"], "left")
+        .join(shown, keys, "left")
+        .select(
+            *keys,
+            F.array_compact(
+                F.array(
+                    F.when(F.col("known").isNull(), "unknown_page"),
+                    F.when(~F.coalesce("approved", F.lit(False)), "not_approved"),
+                    F.when(blank("reviewer"), "no_reviewer"),
+                    F.when(blank("reason"), "no_reason"),
+                    F.when(F.col("shown").isNull(), "no_evidence"),
+                    F.when(F.col("replacement").rlike(r"(?m)^## Page \d+"), "page_heading"),
+                )
+            ).alias("codes"),
+        )
+        .select(*keys, F.explode("codes").alias("code"))
+    )
+    double = entries.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys, F.lit("double_page").alias("code"))
+    now = files.select("path", F.lower(F.trim("hash")).alias("now")).distinct()
+    held = evidence.withColumn("now", F.lower(F.trim("hash"))).join(now, ["path", "now"], "left_anti")
+    changed = held.select(*keys, F.lit("evidence_changed").alias("code")).distinct()
+    none = plans.select("review_id").distinct().join(entries.select("review_id"), "review_id", "left_anti")
+    empty = none.select("review_id", F.lit(None).cast(entries.schema["page"].dataType).alias("page"), F.lit("no_pages").alias("code"))
+    return single.unionByName(double).unionByName(changed).unionByName(empty)
+
+
+def receipts(before: DataFrame, after: DataFrame, key: str, text: str) -> DataFrame:
+    """key, before_hash, after_hash, changed of edited texts."""
+    b = before.select(key, F.sha2(text, 256).alias("before_hash"))
+    return b.join(after.select(key, F.sha2(text, 256).alias("after_hash")), key).withColumn(
+        "changed", ~F.col("before_hash").eqNullSafe(F.col("after_hash"))
+    )
+
+
 def job_id(*parts: Column) -> Column:
     """A stable id of a job from its parts, as sorted JSON."""
     named = [p.alias(f"p{i}") for i, p in enumerate(parts)]

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import text as X
 
 
+SECRET_BYTES = 5 * 1024 * 1024  # longer files are not searched for secrets
+
+
 def links(documents: DataFrame, path: str, text: str) -> DataFrame:
     """path, kind ('wiki', 'markdown'), target of every link."""
     folder = F.regexp_replace(F.col(path), r"/?[^/]*$", "")
@@ -113,7 +119,8 @@ def lock_diff(lock: DataFrame, now: DataFrame, path: str = "path") -> DataFrame:
 def secrets(documents: DataFrame, path: str, text: str) -> DataFrame:
     """path, code of documents that hold a secret or have a sensitive name;
     the secret itself is never part of a result."""
-    a = documents.where(X.has_secret(F.col(text))).select(path, F.lit("secret_pattern").alias("code"))
+    small = F.octet_length(text) <= SECRET_BYTES
+    a = documents.where(small & X.has_secret(F.col(text))).select(path, F.lit("secret_pattern").alias("code"))
     b = documents.where(X.sensitive_name(F.col(path))).select(path, F.lit("sensitive_file_tracked").alias("code"))
     return a.unionByName(b)
 
@@ -137,5 +144,78 @@ def numbered_issues(documents: DataFrame, path: str = "path", status: str = "sta
     return documents.select(path, F.explode(codes).alias("code"))
 
 
-def report(issues: DataFrame) -> DataFrame:
-    return issues.groupBy("code").agg(F.count("*").alias("n"))
+class Numbered(NamedTuple):
+    """What the documents of one numbered collection must be like."""
+
+    kind: str  # first part of the issue codes
+    folder: str
+    name: str  # expression of file names; group 1 is the number
+    types: tuple[str, ...]
+    status: str | None = None  # the one status allowed; None: any, but one
+    number: str | None = None  # field that repeats the number
+    fields: tuple[str, ...] = ()  # further fields that must be there
+    markers: tuple[str, str] | None = None
+    first: int = 0
+    last: int = 0
+
+
+def numbered_corpus(documents: DataFrame, rules: list[Numbered], path: str = "path", text: str = "text") -> DataFrame:
+    """path, code: every breach of the rules by the documents directly in
+    their folders.
+
+    Codes by kind: '_filename' (and nothing else for that file), '_type',
+    '_status', '_frontmatter_number', '_<field>', 'marker_count',
+    'marker_order', and '_numbering' on the folder unless the numbers are
+    first..last, each once.
+    """
+    name = F.element_at(F.split(F.col(path), "/"), -1)
+    folder = F.regexp_replace(F.col(path), r"/?[^/]*$", "")
+    kind = F.lit(None).cast("string")
+    for r in rules:
+        kind = F.when(folder == r.folder, r.kind).otherwise(kind)
+    rows = documents.select(path, kind.alias("kind"), name.alias("name"), F.col(text).alias("t")).where("kind IS NOT NULL AND name LIKE '%.md'")
+    rows = rows.select(path, "kind", "name", "t", X.frontmatter_map(F.coalesce("t", F.lit(""))).alias("m"))
+    codes, number = F.lit(None).cast("array<string>"), F.lit(None).cast("int")
+    for r in rules:
+        field = lambda k: F.coalesce(F.try_element_at("m", F.lit(k)), F.lit(""))
+        n = F.regexp_extract("name", r.name, 1).try_cast("int")
+        status = field("status") == "" if r.status is None else field("status") != r.status
+        tests = [F.when(~field("type").isin(*r.types), f"{r.kind}_type"), F.when(status, f"{r.kind}_status")]
+        if r.number:
+            tests.append(F.when(~field(r.number).try_cast("int").eqNullSafe(n), f"{r.kind}_frontmatter_number"))
+        tests += [F.when(~F.array_contains(F.map_keys("m"), f), f"{r.kind}_{f}") for f in r.fields]
+        if r.markers:
+            state = X.marker_state(F.coalesce("t", F.lit("")), *r.markers)
+            tests.append(F.when(state != "ok", state))
+        mine = F.when(F.col("name").rlike(r.name), F.array_compact(F.array(*tests))).otherwise(F.array(F.lit(f"{r.kind}_filename")))
+        codes, number = F.when(F.col("kind") == r.kind, mine).otherwise(codes), F.when(F.col("kind") == r.kind, n).otherwise(number)
+    rows = rows.select(path, "kind", codes.alias("codes"), number.alias("number"))
+    single = rows.select(path, F.explode("codes").alias("code"))
+    want = documents.sparkSession.createDataFrame([(r.kind, r.folder, r.first, r.last) for r in rules], "kind string, folder string, first int, last int")
+    have = rows.where("number IS NOT NULL").groupBy("kind").agg(
+        F.min("number").alias("low"), F.max("number").alias("high"), F.count("*").alias("n"), F.count_distinct("number").alias("d")
+    )
+    whole = (F.col("low") == F.col("first")) & (F.col("high") == F.col("last")) & (F.col("n") == F.col("last") - F.col("first") + 1) & (F.col("n") == F.col("d"))
+    gaps = want.join(have, "kind", "left").where(~F.coalesce(whole, F.lit(False)))
+    return single.unionByName(gaps.select(F.col("folder").alias(path), F.concat("kind", F.lit("_numbering")).alias("code")))
+
+
+def samples(issues: DataFrame, by: str, path: str, k: int = 12) -> DataFrame:
+    """by, n, first: the number of issues of each kind and the first k paths,
+    the rest cut before anything is shuffled."""
+    w = Window.partitionBy(by).orderBy(path)
+    few = issues.withColumn("r_", F.row_number().over(w)).where(F.col("r_") <= k)
+    shown = few.groupBy(by).agg(F.array_join(F.array_sort(F.collect_list(path)), ", ").alias("first"))
+    return report(issues, by).join(shown, by)
+
+
+def mismatch(wanted: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """key, side: 'missing' or 'extra'; no row if both hold the same keys."""
+    a, b = wanted.select(key).distinct(), found.select(key).distinct()
+    return a.join(b, key, "left_anti").withColumn("side", F.lit("missing")).unionByName(
+        b.join(a, key, "left_anti").withColumn("side", F.lit("extra"))
+    )
+
+
+def report(issues: DataFrame, by: str = "code") -> DataFrame:
+    return issues.groupBy(by).agg(F.count("*").alias("n"))
