@@ -48,6 +48,38 @@ def test_leaks_in_documents_of_another_script(spark):
     assert found == {(1, 71), (2, 70), (3, 71), (3, 72), (4, 72)}
 
 
+def test_follow():
+    assert leakage.follow("abcdefgh--ijklmnop", "abcdefgh+ijklmnopq", 4) == (18, 17)
+    assert leakage.follow("abcd", "xxxxabcd", 4) == (4, 8) and leakage.follow("", "abcd", 4) == leakage.follow("wxyz", "abcd", 4) == (0, 0)
+
+
+def noisy(text: str, r: random.Random, rate: float = 0.02) -> str:
+    """Characters replaced, left out and doubled, blanks for line breaks."""
+    out = []
+    for c in text:
+        x = r.random()
+        out.append(c if x > rate else r.choice(["", c + c, "·" + c, "e" if c != "e" else "c"]))
+    return "".join(out).replace(" ", "\n", 3)
+
+
+@pytest.mark.parametrize("kind", ["whole", "half", "noisy"])
+@pytest.mark.parametrize("item_script", ["han", "latin", "thai"])
+def test_recall_by_kind_and_script(spark, kind, item_script):
+    r = random.Random(f"{kind}{item_script}")
+    thai = lambda n: "".join(r.choice("กขคงจชซดตถทนบปผพฟมยรลวสห") for _ in range(n))
+    make = {"han": lambda k: passage(k, 240, True), "latin": lambda k: passage(k, 60), "thai": lambda k: thai(360)}
+    items = [(k, make[item_script](1000 + k)) for k in range(30)]
+    docs, want = [], set()
+    for n, (k, item) in enumerate(items):
+        part = {"whole": item, "half": item[len(item) // 5 : len(item) // 5 + int(len(item) * 0.58)], "noisy": noisy(item, r)}[kind]
+        around = make[("han", "latin", "thai")[n % 3]]
+        docs += [(n, around(5000 + n) + " " + part + " " + around(6000 + n)), (100 + n, around(7000 + n) + item[: len(item) // 5] + around(8000 + n))]
+        want.add((n, k))
+    found = leakage.leaked_items(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(x.doc_id, x.item_id) for x in found.collect()}
+    assert got <= want and len(got) >= 0.95 * len(want)
+
+
 def test_suffix_search_against_brute_force():
     r = random.Random(3)
     a = "".join(r.choice("abc") for _ in range(400))
