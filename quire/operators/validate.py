@@ -32,8 +32,8 @@ def resolve_wiki(found: DataFrame, names: DataFrame, path: str = "path") -> Data
     """Every wiki link with its state and the path it leads to.
 
     names: path and name of all documents (a name is what links may call it).
-    Order: the exact path from the root, the exact path from the source's
-    folder, either without regard to case, a name that only one document has.
+    Order: the path from the root, exactly or else without regard to case; the
+    path from the source's folder, likewise; a name that only one document has.
     States: ok, case, ambiguous, broken.  Index sides are grouped to one row
     for a key before they join, so no link multiplies.
     """
@@ -44,19 +44,21 @@ def resolve_wiki(found: DataFrame, names: DataFrame, path: str = "path") -> Data
         F.min("to").alias("name_to"), F.count_distinct("to").alias("n")
     )
     folder = F.regexp_replace(F.col(path), r"/?[^/]*$", "")
+    rows = found.withColumns(
+        {"root_": X.normal_path(F.lit(""), F.col("target")), "sibling": X.normal_path(folder, F.col("target"))}
+    ).withColumns({"low_r": F.lower("root_"), "low_s": F.lower("sibling"), "called": F.when(~F.col("target").contains("/"), F.lower("target"))})
     rows = (
-        found.withColumn("sibling", F.coalesce(X.normal_path(folder, F.col("target")), F.lit("")))
-        .join(exact.withColumnRenamed("full", "target").withColumnRenamed("exact_to", "a"), "target", "left")
-        .join(exact.withColumnRenamed("full", "sibling").withColumnRenamed("exact_to", "b"), "sibling", "left")
-        .withColumns({"low_t": F.lower("target"), "low_s": F.lower("sibling")})
-        .join(folded.withColumnRenamed("low", "low_t").withColumnRenamed("case_to", "c"), "low_t", "left")
-        .join(folded.withColumnRenamed("low", "low_s").withColumnRenamed("case_to", "d"), "low_s", "left")
-        .withColumn("called", F.when(~F.col("target").contains("/"), F.col("low_t")))
+        rows.join(exact.toDF("root_", "a"), "root_", "left")
+        .join(folded.toDF("low_r", "b"), "low_r", "left")
+        .join(exact.toDF("sibling", "c"), "sibling", "left")
+        .join(folded.toDF("low_s", "d"), "low_s", "left")
         .join(named, "called", "left")
     )
     state = (
-        F.when(F.coalesce("a", "b").isNotNull(), "ok")
-        .when(F.coalesce("c", "d").isNotNull(), "case")
+        F.when(F.col("a").isNotNull(), "ok")
+        .when(F.col("b").isNotNull(), "case")
+        .when(F.col("c").isNotNull(), "ok")
+        .when(F.col("d").isNotNull(), "case")
         .when(F.col("n") == 1, "ok")
         .when(F.col("n") > 1, "ambiguous")
         .otherwise("broken")
@@ -65,6 +67,30 @@ def resolve_wiki(found: DataFrame, names: DataFrame, path: str = "path") -> Data
     return rows.select(path, "target", state.alias("state"), to.alias("to_path"))
 
 
+def link_issues(resolved: DataFrame, path: str = "path", log: str = "log.md") -> DataFrame:
+    """path, target, code of wiki links that do not resolve as written; a link
+    to nothing is none in the log, which tells of pages that are gone."""
+    name = F.element_at(F.split(F.col(path), "/"), -1)
+    code = (
+        F.when((F.col("state") == "broken") & (name != log), "broken_wiki_link")
+        .when(F.col("state") == "ambiguous", "ambiguous_wiki_link")
+        .when(F.col("state") == "case", "wiki_link_case")
+    )
+    return resolved.select(path, "target", code.alias("code")).where("code IS NOT NULL")
+
+
+def missing_backlinks(resolved: DataFrame, path: str, first: str, second: str) -> DataFrame:
+    """path, target, code: links between articles (first folder) and courses
+    (second) that are not returned.  Links that differ in case count."""
+    edges = resolved.where("to_path IS NOT NULL").select(F.col(path).alias("path"), F.col("to_path").alias("target"))
+    across = edges.where(
+        (F.col("path").startswith(f"{first}/") & F.col("target").startswith(f"{second}/"))
+        | (F.col("path").startswith(f"{second}/") & F.col("target").startswith(f"{first}/"))
+    )
+    code = F.when(F.col("path").startswith(f"{first}/"), "missing_course_backlink").otherwise("missing_article_backlink")
+    return one_sided(across, "path", "target").withColumn("code", code)
+
+
 def broken_markdown(found: DataFrame, documents: DataFrame, path: str = "path") -> DataFrame:
     """Markdown links to no document, and links that leave the root."""
     rows = found.where("kind = 'markdown'")

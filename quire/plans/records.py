@@ -392,6 +392,53 @@ def path_states(t):
     return d.select("doc_id", X.path_state(F.col("path"), "文库", "文字层", "原件").alias("state"))
 
 
+_STEM = "regexp_replace(path, '\\.md$', '')"
+
+
+@query(f"""WITH l AS (SELECT path, title, source, CASE source WHEN 'course' THEN {_STEM} WHEN 'article' THEN upper({_STEM}) WHEN 'book_text_layer' THEN '../' || string_split({_STEM}, '/')[-2] || '/' || string_split({_STEM}, '/')[-1]
+    WHEN 'topic_synthesis' THEN './' || string_split({_STEM}, '/')[-1] WHEN 'practice_transcript' THEN title WHEN 'practice_synthesis' THEN '../../../../../../x' ELSE 'no/such' END AS target FROM documents),
+t AS (SELECT lower(title) AS called, min(path) AS p, count(DISTINCT path) AS k FROM documents WHERE title IS NOT NULL GROUP BY 1)
+SELECT path, target, CASE source WHEN 'course' THEN 'ok' WHEN 'article' THEN 'case' WHEN 'book_text_layer' THEN 'ok' WHEN 'topic_synthesis' THEN 'ok' WHEN 'practice_transcript' THEN CASE WHEN k = 1 THEN 'ok' ELSE 'ambiguous' END ELSE 'broken' END AS state,
+  CASE WHEN source IN ('course', 'article', 'book_text_layer', 'topic_synthesis') THEN path WHEN source = 'practice_transcript' AND k = 1 THEN p END AS to_path
+FROM l LEFT JOIN t ON source = 'practice_transcript' AND lower(target) = called WHERE target IS NOT NULL""")
+def link_branches(t):
+    stem, parts = validate.stem(F.col("path")), F.split(validate.stem(F.col("path")), "/")
+    at = lambda k: F.try_element_at(parts, F.lit(k))
+    target = (
+        F.when(F.col("source") == "course", stem).when(F.col("source") == "article", F.upper(stem))
+        .when(F.col("source") == "book_text_layer", F.concat(F.lit("../"), at(-2), F.lit("/"), at(-1)))
+        .when(F.col("source") == "topic_synthesis", F.concat(F.lit("./"), at(-1)))
+        .when(F.col("source") == "practice_transcript", F.col("title"))
+        .when(F.col("source") == "practice_synthesis", F.lit("../../../../../../x"))
+        .otherwise("no/such")
+    )
+    found = t("documents").select("path", target.alias("target")).where("target IS NOT NULL")
+    return validate.resolve_wiki(found, t("documents").select("path", F.col("title").alias("name")))
+
+
+@query("""WITH f AS (SELECT path, source, regexp_replace(path, '/[^/]*$', '') AS folder FROM documents)
+SELECT path, '../../../../../../../x.md' AS target, 'markdown_link_escape' AS code FROM f WHERE source = 'course'
+UNION ALL SELECT path, folder || '/none it.md', 'broken_markdown_link' FROM f WHERE source <> 'course'""")
+def markdown_links(t):
+    name = F.element_at(F.split("path", "/"), -1)
+    bad = F.when(F.col("source") == "course", "../../../../../../x.md").otherwise("./none%20it.md#top")
+    text = F.concat(F.lit("[a]("), name, F.lit(") ![b](<"), bad, F.lit(">) [c](https://e.org/a.md) [d](a.txt)\n```\n[e](no.md)\n```\n"))
+    d = t("documents").select("path", text.alias("text"))
+    return validate.broken_markdown(validate.links(d, "path", "text"), d)
+
+
+# -- retrieval ----------------------------------------------------------------------
+@query(K.SQL["retrieval_topk"].replace("SELECT chunk_key, path, source_kind, round(score, 6) AS score,", """SELECT chunk_key, section, page, source_kind,
+  CASE WHEN source_kind IN ('article', 'course') THEN 'high' WHEN source_kind = 'practice_transcript' THEN 'low' ELSE 'medium' END AS confidence,""").replace(
+    "FROM sc JOIN chunks USING (chunk_key)", "FROM sc JOIN (SELECT c.* REPLACE (d.k AS source_kind) FROM chunks c JOIN (SELECT document_id, min(source_kind) AS k FROM chunks GROUP BY 1) d USING (document_id)) USING (chunk_key)"))
+def retrieval_hits(t):
+    chunks = t("chunks")
+    index, statistics = K.retrieval.scan_index(chunks, K.QUESTION)
+    scores = K.retrieval.bm25(index, statistics, K.retrieval.query_terms(chunks.sparkSession, K.QUESTION))
+    hits = K.retrieval.top_k(chunks, scores, 20, documents=K.retrieval.document_rows(chunks))
+    return hits.select("chunk_key", "section", "page", "source_kind", "confidence", n(F.col("rank")).alias("rank"))
+
+
 # -- review -----------------------------------------------------------------------
 @query("""WITH s AS (SELECT source, count(*) FILTER (status = 'complete') AS done, count(*) FILTER (status = 'error') AS bad FROM documents GROUP BY source)
 SELECT source, CASE WHEN bad > 5 THEN NULL ELSE '- ready: ' || done || ' of x' || chr(10) || '| open | ' || bad || ' | y |' END AS text, CASE WHEN bad > 5 THEN '2' ELSE '' END AS failed FROM s""")
