@@ -7,6 +7,7 @@ makes ``\\s`` Unicode, ``(?d)`` makes ``$`` see line feeds only.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -221,11 +222,25 @@ def sentence_pieces(c: Column) -> Column:
     return F.filter(pieces, lambda x: x != "")
 
 
+def _plain_letters() -> tuple[str, str]:
+    """Lower-case Latin letters with marks, and the letters without them."""
+    pairs = []
+    for code in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
+        d = unicodedata.normalize("NFD", chr(code))
+        if len(d) > 1 and d[0].isascii() and chr(code).islower() and len(chr(code)) == 1:
+            pairs.append((chr(code), d[0]))
+    return "".join(x for x, _ in pairs), "".join(y for _, y in pairs)
+
+
+MARKED, UNMARKED = _plain_letters()
+
+
 def search_tokens(c: Column) -> Column:
-    """Lower-case words, and the overlapping pairs of Chinese characters that
-    stand for words where no dictionary is at hand."""
-    text = F.lower(c)
-    words = F.regexp_extract_all(text, F.lit(r"[a-z0-9ß-öø-ÿ]+"), F.lit(0))
+    """Lower-case words of any script, Latin ones without accents, and the
+    overlapping pairs of Chinese characters that stand for words where no
+    dictionary is at hand."""
+    text = F.translate(F.lower(c), MARKED, UNMARKED)
+    words = F.regexp_extract_all(text, F.lit(rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{CJK_TOKEN}]]+"), F.lit(0))
     pairs = F.regexp_extract_all(text, F.lit(rf"(?=([{CJK_TOKEN}]{{2}}))"), F.lit(1))
     return F.filter(F.concat(words, pairs), lambda w: ~w.isin(*STOPWORDS))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions.text import EMPTY_MARKERS, STOPWORDS
+from ..functions.text import EMPTY_MARKERS, MARKED, STOPWORDS, UNMARKED
 
 WS = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 CJK = r"[\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}]"
@@ -54,8 +54,9 @@ def clean_native(c: str) -> str:
 
 def tokens(c: str) -> str:
     stop = ", ".join(literal(w) for w in STOPWORDS)
-    chars = f"string_split(lower({c}), '')"
-    words = f"regexp_extract_all(lower({c}), '[a-z0-9ß-öø-ÿ]+')"
+    text = f"translate(lower({c}), '{MARKED}', '{UNMARKED}')"
+    chars = f"string_split({text}, '')"
+    words = rf"regexp_extract_all(regexp_replace({text}, '[\x{{3400}}-\x{{9FFF}}]', ' ', 'g'), '[\p{{L}}\p{{M}}\p{{N}}]+')"
     pairs = (
         f"list_filter(list_transform(list_zip({chars}, ({chars})[2:]), lambda z: z[1] || coalesce(z[2], '')), "
         r"lambda b: regexp_full_match(b, '[\x{3400}-\x{9FFF}]{2}'))"
