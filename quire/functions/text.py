@@ -10,7 +10,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CJK = "\\x{4E00}-\\x{9FFF}\\x{3400}-\\x{4DBF}"
@@ -121,15 +121,29 @@ def clean_native(c: Column) -> Column:
     return clean_scan(F.array_join(lines, "\n"))
 
 
-def prefers_scan(native: Column, scan: Column, threshold: Column | int = 50) -> Column:
-    """Whether the scanned text is taken: the native one is short and the
-    scanned one is longer.  Nulls count as empty."""
-    n = compact_length(clean_native(F.coalesce(native, F.lit(""))))
-    s = compact_length(clean_scan(F.coalesce(scan, F.lit(""))))
+def longer_scan(native: Column, scan: Column, threshold: Column | int = 50) -> Column:
+    """Of two cleaned texts, whether the scanned one is taken: the native one
+    is short and the scanned one is longer."""
+    n, s = compact_length(native), compact_length(scan)
     threshold = threshold if isinstance(threshold, Column) else F.lit(threshold)
     return (n < threshold) & (s > n)
 
 
+def with_hybrid(df: DataFrame, native: str, scan: str, threshold: Column | int = 50, taken: str = "from_scan", text: str = "hybrid_text") -> DataFrame:
+    """Adds whether the scanned text is taken, and the text taken.  Each text
+    is cleaned once; nulls count as empty."""
+    empty = F.lit("")
+    cleaned = df.withColumns({"nat_": clean_native(F.coalesce(native, empty)), "scan_": clean_scan(F.coalesce(scan, empty))})
+    decided = cleaned.withColumn(taken, longer_scan(F.col("nat_"), F.col("scan_"), threshold))
+    return decided.withColumn(text, F.when(F.col(taken), F.col("scan_")).otherwise(F.col("nat_"))).drop("nat_", "scan_")
+
+
+def prefers_scan(native: Column, scan: Column, threshold: Column | int = 50) -> Column:
+    """``longer_scan`` of the cleaned texts.  Nulls count as empty."""
+    empty = F.lit("")
+    return longer_scan(clean_native(F.coalesce(native, empty)), clean_scan(F.coalesce(scan, empty)), threshold)
+
+
 def hybrid(native: Column, scan: Column, threshold: Column | int = 50) -> Column:
     empty = F.lit("")
     return F.when(prefers_scan(native, scan, threshold), clean_scan(F.coalesce(scan, empty))).otherwise(

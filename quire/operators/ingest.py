@@ -70,20 +70,14 @@ def coalesce_pages(
         .join(blank.select(*keys).distinct().withColumn("is_blank", F.lit(True)), keys, "left")
         .join(short.select(*keys).distinct().withColumn("is_short", F.lit(True)), keys, "left")
     )
-    taken = X.prefers_scan(F.col("native_text"), F.col("text_layer"), threshold)
-    final = (
-        F.when(F.col("manual_text").isNotNull(), X.clean_scan(F.col("manual_text")))
-        .when(F.col("is_blank"), F.lit(""))
-        .otherwise(X.hybrid(F.col("native_text"), F.col("text_layer"), threshold))
-    )
-    origin = (
-        F.when(F.col("manual_text").isNotNull(), "manual").when(F.col("is_blank"), "blank").when(taken, "scan").otherwise("native")
-    )
     limit = threshold if isinstance(threshold, Column) else F.lit(threshold)
-    listed = F.col("manual_text").isNotNull() | F.col("is_blank").isNotNull() | F.col("is_short").isNotNull()
-    return rows.withColumns({"origin": origin, "final_text": final}).withColumn(
-        "needs_review", ~listed & (X.compact_length(F.col("final_text")) < limit)
-    )
+    rows = X.with_hybrid(rows, "native_text", "text_layer", limit, "taken_", "hybrid_")
+    given = F.col("manual_text").isNotNull()
+    final = F.when(given, X.clean_scan(F.col("manual_text"))).when(F.col("is_blank"), F.lit("")).otherwise(F.col("hybrid_"))
+    origin = F.when(given, "manual").when(F.col("is_blank"), "blank").when(F.col("taken_"), "scan").otherwise("native")
+    listed = given | F.col("is_blank").isNotNull() | F.col("is_short").isNotNull()
+    out = rows.withColumns({"origin": origin, "final_text": final}).drop("taken_", "hybrid_")
+    return out.withColumn("needs_review", ~listed & (X.compact_length(F.col("final_text")) < limit))
 
 
 def list_conflicts(manual: DataFrame, blank: DataFrame, short: DataFrame, books: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from ..functions import rewrite as R
 from ..functions import text as X
 from ..operators import audit, compare, ingest, ledger, retrieval, review, validate
-from ..session import table
+from ..session import spread, table
 from ..streaming import events as streams
 from . import sqltext as S
 
@@ -20,11 +20,18 @@ SQL: dict[str, str] = {}
 LONG = "long"
 
 
+TEXTS = ("pages", "chunks")
+
+
 def query(sql: str | None = None):
-    """Registers a function under its name, with its SQL."""
+    """Registers a function under its name, with its SQL.  Tables of texts are
+    worked on by all cores, however few files they lie in."""
+
+    def source(spark: SparkSession, sf: str):
+        return lambda name: spread(table(spark, sf, name)) if name in TEXTS else table(spark, sf, name)
 
     def add(f):
-        QUERIES[f.__name__] = lambda spark, sf: f(lambda name: table(spark, sf, name))
+        QUERIES[f.__name__] = lambda spark, sf: f(source(spark, sf))
         if sql is not None:
             SQL[f.__name__] = sql
         return f
@@ -212,8 +219,8 @@ d AS (SELECT *, length({S.squeeze('nat')}) < th AND length({S.squeeze('sc')}) >
 @query(f"{_PICK} SELECT page_key, coalesce(scan, false) AS from_scan, CASE WHEN scan THEN sc ELSE nat END AS text FROM d")
 def hybrid_select(t):
     p = t("pages").join(t("books").select("book_id", "review_threshold"), "book_id", "left")
-    a, b, h = F.col("native_text"), F.col("text_layer"), F.col("review_threshold")
-    return p.select("page_key", F.coalesce(X.prefers_scan(a, b, h), F.lit(False)).alias("from_scan"), X.hybrid(a, b, h).alias("text"))
+    out = X.with_hybrid(p, "native_text", "text_layer", F.col("review_threshold"))
+    return out.select("page_key", F.coalesce("from_scan", F.lit(False)).alias("from_scan"), F.col("hybrid_text").alias("text"))
 
 
 def _lists(t):
