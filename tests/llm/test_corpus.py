@@ -137,6 +137,32 @@ def test_mixture(spark, monkeypatch):
     assert mixing.mixture(d.limit(0), t)[0].count() == 0
 
 
+def test_topics(spark):
+    from quire.llm import topics
+
+    r = random.Random(4)
+    themes = [WORDS[:5], WORDS[5:10], WORDS[10:]]
+    german = {w: f"das{w[::-1]}e" for w in WORDS}
+    docs = []
+    for i in range(600):
+        words = [r.choice(themes[i % 3]) for _ in range(60)]
+        de = i % 2 == 1
+        docs.append((i, "de" if de else "en", " ".join(("der die und " if de else "the of and ") + (german[w] if de else w) for w in words)))
+    docs += [(900, None, None), (901, "en", ""), (902, "en", "short"), (903, "xx", "entirely other words stand in this one " * 9)]
+    d = spark.createDataFrame(docs, "doc_id long, lang string, text string")
+    model = topics.fit(d, mixing.encoder(), topics=6)
+    got = {x.doc_id: x.topic for x in mixing.token_sizes(d, ["doc_id", "lang"], model=model).collect()}
+    assert got[900] == got[901] == got[902] == "none" != got[903]
+    for lang in (0, 1):  # each topic holds one theme of a language
+        for name in set(got.values()):
+            mine = [i % 3 for i in range(lang, 600, 2) if got[i] == name]
+            assert not mine or max(map(mine.count, range(3))) > 0.95 * len(mine)
+    again = topics.fit(d.repartition(7), mixing.encoder(), topics=6)
+    assert np.allclose(again.centres, model.centres, atol=1e-4)
+    assert len(topics.fit(d.limit(0), mixing.encoder()).centres) == 0
+    assert {x.topic for x in mixing.token_sizes(d, ["doc_id", "lang"], model=topics.fit(d.limit(0), mixing.encoder())).collect()} == {"none"}
+
+
 def test_sizes(spark):
     long = "word " * 60_000
     d = spark.createDataFrame([(1, "hello world"), (2, None), (3, ""), (4, long)], "k long, text string")
