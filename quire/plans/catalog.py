@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from ..functions import rewrite as R
 from ..functions import text as X
 from ..operators import audit, compare, ingest, ledger, retrieval, review, validate
+from ..operators.ordering import placed
 from ..session import spread, table
 from ..streaming import events as streams
 from . import sqltext as S
@@ -933,11 +934,9 @@ def path_guards(t):
     )
 
 
-@query("SELECT book_id, row_number() OVER (ORDER BY lower(title), book_id) AS place FROM books ORDER BY lower(title), book_id LIMIT 50")
-def title_order(t):
-    first = t("books").orderBy(F.lower("title"), "book_id").limit(50)
-    w = Window.orderBy(F.lower("title"), "book_id")  # over 50 rows
-    return first.select("book_id", n(F.row_number().over(w)).alias("place"))
+@query("SELECT doc_id, row_number() OVER (ORDER BY lower(title) NULLS FIRST, doc_id) AS place FROM documents")
+def title_places(t):
+    return placed(t("documents").select("doc_id", F.lower("title").alias("t")), ["t", "doc_id"]).select("doc_id", "place")
 
 
 @query("""SELECT book_id, substr(sha256('{"p0":"' || book_id || '","p1":' || expected_pages || '}'), 1, 16) AS job FROM books""")

@@ -14,6 +14,7 @@ from quire import storage
 from quire.functions import rewrite as R
 from quire.functions import text as X
 from quire.operators import ingest, ledger, retrieval, review, validate
+from quire.operators.ordering import placed
 from quire.session import checkpoint_dir, spread, written
 from quire.sources import files, sinks
 from quire.streaming import events as streams
@@ -89,6 +90,14 @@ def test_patches(spark):
     assert [r[0] for r in notes.select(review.swap_note(F.col("t"), "old", "new")).collect()] == ["a new b", "a new b", None, None]
 
 
+def test_places(spark):
+    df = spark.range(1000).selectExpr("id", "CASE WHEN id % 7 = 0 THEN NULL ELSE (id * 37) % 100 END AS v", "0 AS place").repartition(8)
+    got = {r.id: r.place for r in placed(df, ["v", "id"]).collect()}
+    want = sorted(df.collect(), key=lambda r: (r.v is not None, r.v or 0, r.id))
+    assert got == {r.id: n for n, r in enumerate(want, 1)}
+    assert placed(df.limit(0), ["v"]).count() == 0
+
+
 def test_chunks_by_running_sums():
     old = ["甲乙丙。" * 3, "x" * 3000, "短。", "丁" * 500]
     got = list(retrieval.packed("\n".join(old), 400, 480, 60))
