@@ -386,6 +386,22 @@ def compare_scored(a: Column, b: Column, score: Column) -> Column:
     )
 
 
+# Lengths at which recalled texts are cut, and facts shown.
+SUMMARY, SUBJECT, FACT, FACTS = 300, 80, 150, 2
+
+
+def recalled(at: Column, subject: Column, summary: Column, facts: Column) -> Column:
+    """The lines that show one recalled episode: its date, subject and summary,
+    then its first facts; an empty array if it has neither.  facts: an array
+    of texts."""
+    cut = lambda c, n: F.substring(F.trim(F.coalesce(c, F.lit(""))), 1, n)
+    s, m = cut(subject, SUBJECT), cut(summary, SUMMARY)
+    head = F.concat(F.lit("- [情景 "), F.substring(F.coalesce(at.cast("string"), F.lit("")), 1, 10), F.lit("] "), s, F.lit("："), m)
+    shown = F.filter(F.transform(F.slice(F.coalesce(facts, F.array().cast("array<string>")), 1, FACTS), lambda f: cut(f, FACT)), lambda f: f != "")
+    lines = F.concat(F.array(head), F.transform(shown, lambda f: F.concat(F.lit("- [事实] "), f)))
+    return F.when((s == "") & (m == ""), F.array().cast("array<string>")).otherwise(lines)
+
+
 def question_kind(c: Column) -> Column:
     """Kind of a question by the first keyword list with a hit."""
     # Words of each kind, in order.

@@ -24,6 +24,50 @@ def pages_of_markdown(documents: DataFrame, key: str, text: str = "text") -> Dat
     )
 
 
+def document_issues(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """key, code of texts: 'missing_frontmatter', 'invalid_yaml' (a line of the
+    front matter that is no 'key: value', list item, comment or indented line),
+    'invalid_page_sequence' (page headings that are not 1..n, or none) and
+    'repeated_page'.  A null text has no front matter and no pages."""
+    t = F.coalesce(text, F.lit(""))
+    front = X.frontmatter(t)
+    lines = F.filter(F.split(front, "\n"), lambda x: (F.trim(x) != "") & ~x.rlike(r"^(?:[^\s:][^:]*:(?:\s.*)?|\s.*|-\s.*|#.*)$"))
+    pages = F.transform(F.regexp_extract_all(X.body(t), F.lit(r"(?m)^## Page (\d+)[ \t]*$"), F.lit(1)), lambda x: x.cast("int"))
+    in_order = F.coalesce(F.forall(F.transform(pages, lambda x, i: x == i + 1), lambda ok: ok) & (F.size(pages) > 0), F.lit(False))
+    codes = F.array_compact(
+        F.array(
+            F.when(~X.newlines(t).rlike(r"(?s)\A---\n.*?\n---(?:\n|\z)"), "missing_frontmatter"),
+            F.when(F.size(lines) > 0, "invalid_yaml"),
+            F.when(~in_order, "invalid_page_sequence"),
+            F.when(F.size(F.array_distinct(pages)) < F.size(pages), "repeated_page"),
+        )
+    )
+    return documents.select(key, F.explode(codes).alias("code"))
+
+
+def headings(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """key, i (number of the line), level, heading of the Markdown headings of
+    a text's body."""
+    lines = documents.select(key, F.posexplode(F.split(X.body(F.col(text)), "\n")).alias("i", "x"))
+    return lines.where(F.col("x").rlike(r"^#{1,6}\s+.")).select(
+        key,
+        "i",
+        F.length(F.regexp_extract("x", r"^(#{1,6})\s+.+$", 1)).alias("level"),
+        F.regexp_extract("x", r"^#{1,6}\s+(.+?)\s*$", 1).alias("heading"),
+    )
+
+
+def signature(version: str, *parts: Column) -> Column:
+    """What a result of a document was made from: program version and parts
+    (hashes, path of the source); nulls count as empty."""
+    return F.sha2(F.concat_ws("\x00", F.lit(version), *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), 256)
+
+
+def outdated(documents: DataFrame, store: DataFrame, keys: list[str]) -> DataFrame:
+    """Documents of which the store (complete results) holds no equal signature."""
+    return documents.join(store.select(*keys).distinct(), keys, "left_anti")
+
+
 def page_gaps(pages: DataFrame, by: str, page: str = "page") -> DataFrame:
     """Groups whose pages are not 1..n: what is missing, doubled, outside.
     ``n`` is the highest page."""

@@ -175,13 +175,7 @@ h AS (SELECT doc_id, i, length(regexp_extract(x, '^(#{{1,6}})\\s+.+$', 1)) AS le
 SELECT doc_id, count(*) AS headings, min(heading) FILTER (level = 1 AND i = f) AS title, count(*) FILTER (level = 2 AND regexp_matches(heading, '(?i)^page\\s+\\d+$')) AS pages
 FROM (SELECT *, min(CASE WHEN level = 1 THEN i END) OVER (PARTITION BY doc_id) AS f FROM h) GROUP BY doc_id""")
 def headings(t):
-    lines = t("documents").select("doc_id", F.posexplode(F.split(X.body(F.col("text")), "\n")).alias("i", "x"))
-    h = lines.where(F.col("x").rlike(r"^#{1,6}\s+.")).select(
-        "doc_id",
-        "i",
-        F.length(F.regexp_extract("x", r"^(#{1,6})\s+.+$", 1)).alias("level"),
-        F.regexp_extract("x", r"^#{1,6}\s+(.+?)\s*$", 1).alias("heading"),
-    )
+    h = ingest.headings(t("documents"), "doc_id")
     return h.groupBy("doc_id").agg(
         F.count("*").alias("headings"),
         F.min_by("heading", F.when(F.col("level") == 1, F.col("i"))).alias("title"),

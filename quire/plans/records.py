@@ -503,6 +503,73 @@ def edit_receipts(t):
     return review.receipts(p, p.select("page_key", F.coalesce("native_text", "text_layer").alias("text_layer")), "page_key", "text_layer")
 
 
+# -- further reports ---------------------------------------------------------------
+@query(f"""{K._AB}, z AS (SELECT lang, book_id, {S.compare5('a', 'b')} AS comparison FROM ab JOIN (SELECT page_key, lang FROM pages) USING (page_key))
+SELECT lang, comparison, count(*) AS n, count(DISTINCT book_id) AS books FROM z GROUP BY ALL""")
+def compare_nested(t):
+    out = K.compare.compared(t("pages")).groupBy("lang", "comparison")
+    return out.agg(F.count("*").alias("n"), F.count_distinct("book_id").alias("books"))
+
+
+@query("""SELECT run_id, count(*) AS files, count(*) FILTER (status = 'error') AS errors, count(*) FILTER (error_message = 'file changed during scan') AS changed,
+  count(*) FILTER (error_message IS NOT NULL) AS issues FROM scan_ledger GROUP BY run_id""")
+def run_counts(t):
+    return t("scan_ledger").groupBy("run_id").agg(
+        F.count("*").alias("files"), F.count_if(F.col("status") == "error").alias("errors"),
+        F.count_if(F.col("error_message") == "file changed during scan").alias("changed"), F.count_if(F.col("error_message").isNotNull()).alias("issues"),
+    )
+
+
+@query(f"""{_PASS} SELECT s0.page_key, (length(s0.c) - length(s7.c))::BIGINT AS chars, (strlen(s0.c) - strlen(s7.c))::BIGINT AS bytes FROM s0 JOIN s7 USING (page_key) WHERE s0.c <> s7.c""")
+def pass_delta(t):
+    c = _suspect(t).withColumn("a", R.rewrite(F.col("c"))).where("a <> c")
+    return c.select("page_key", n(F.length("c") - F.length("a")).alias("chars"), n(F.octet_length("c") - F.octet_length("a")).alias("bytes"))
+
+
+_DOCS = """(SELECT doc_id, CASE source WHEN 'course' THEN '---' || chr(10) || 'title: x' || chr(10) || '  more' || chr(10) || '---' || chr(10) || '## Page 1' || chr(10) || 'a' || chr(10) || '## Page 2' || chr(10) || 'b'
+  WHEN 'article' THEN '---' || chr(10) || 'no key' || chr(10) || '---' || chr(10) || '## Page 1' || chr(10) || '## Page 1' ELSE text END AS text FROM documents)"""
+
+
+@query(f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM {_DOCS}),
+e AS (SELECT doc_id, t, list_transform(regexp_extract_all({S.body('t')}, '(?m)^## Page (\\d+)[ \\t]*$', 1), lambda x: x::INT) AS p,
+  list_filter(string_split({S.front('t')}, chr(10)), lambda x: trim(x) <> '' AND NOT regexp_full_match(x, '([^\\s:][^:]*:(\\s.*)?|\\s.*|-\\s.*|#.*)')) AS bad FROM d)
+SELECT doc_id, code FROM (SELECT doc_id, unnest([CASE WHEN NOT regexp_matches({S.newlines('t')}, '(?s)\\A---\\n.*?\\n---(\\n|\\z)') THEN 'missing_frontmatter' END, CASE WHEN len(bad) > 0 THEN 'invalid_yaml' END,
+  CASE WHEN len(p) = 0 OR p <> range(1, len(p) + 1) THEN 'invalid_page_sequence' END, CASE WHEN len(list_distinct(p)) < len(p) THEN 'repeated_page' END]) AS code FROM e) WHERE code IS NOT NULL""")
+def document_issues(t):
+    text = (
+        F.when(F.col("source") == "course", "---\ntitle: x\n  more\n---\n## Page 1\na\n## Page 2\nb")
+        .when(F.col("source") == "article", "---\nno key\n---\n## Page 1\n## Page 1")
+        .otherwise(F.col("text"))
+    )
+    return ingest.document_issues(t("documents").select("doc_id", text.alias("text")), "doc_id")
+
+
+@query("""WITH b AS (SELECT lower(trim(source_hash)) AS h, min(book_id) AS src FROM books WHERE source_hash IS NOT NULL GROUP BY 1),
+l AS (SELECT path, sha256(concat('v1', chr(0), coalesce(lower(trim(text_hash)), ''), chr(0), coalesce(lower(trim(source_hash)), ''), chr(0), coalesce(src, ''))) AS sig FROM scan_ledger LEFT JOIN b ON lower(trim(source_hash)) = h WHERE status = 'complete'),
+d AS (SELECT doc_id, path, sha256(concat('v1', chr(0), coalesce(lower(trim(text_hash)), ''), chr(0), coalesce(lower(trim(source_hash)), ''), chr(0), coalesce(src, ''))) AS sig FROM documents LEFT JOIN b ON lower(trim(source_hash)) = h)
+SELECT doc_id FROM d WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.path = d.path AND l.sig = d.sig)""")
+def signature_sources(t):
+    sources = t("books").select("source_hash", F.col("book_id").alias("path"))
+    plain = lambda c: F.lower(F.trim(c))
+    sig = ingest.signature("v1", plain("text_hash"), plain("source_hash"), F.col("source_path")).alias("sig")
+    store = K.compare.match_sources(t("scan_ledger").where("status = 'complete'"), sources).select("path", sig)
+    now = K.compare.match_sources(t("documents"), sources).select("doc_id", "path", sig)
+    return ingest.outdated(now, store, ["path", "sig"]).select("doc_id")
+
+
+@query("""WITH e AS (SELECT user_id, event_id, ts, event_type, props, row_number() OVER (PARTITION BY user_id ORDER BY value DESC NULLS LAST, event_id) AS r FROM events),
+k AS (SELECT user_id, r, CASE WHEN trim(coalesce(event_type, '')) = '' AND trim(coalesce(props, '')) = '' THEN NULL ELSE '- [情景 ' || substr(ts::VARCHAR, 1, 10) || '] ' || substr(trim(coalesce(event_type, '')), 1, 80) || '：' || substr(trim(coalesce(props, '')), 1, 300)
+  || chr(10) || '- [事实] ' || event_id || chr(10) || '- [事实] ' || substr(repeat(event_type, 40), 1, 150) END AS x FROM e WHERE r <= 3)
+SELECT user_id, string_agg(x, chr(10) ORDER BY r) AS shown FROM k GROUP BY user_id""")
+def recall_lines(t):
+    w = K.Window.partitionBy("user_id").orderBy(F.desc_nulls_last("value"), "event_id")
+    best = t("events").withColumn("r", F.row_number().over(w)).where("r <= 3")
+    facts = F.array(F.col("event_id").cast("string"), F.repeat("event_type", 40), F.lit("never shown"))
+    lines = best.select("user_id", "r", X.recalled(F.col("ts"), F.col("event_type"), F.col("props"), facts).alias("l"))
+    joined = F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("r", "l"))), lambda x: x["l"])), "\n")
+    return lines.groupBy("user_id").agg(F.nullif(joined, F.lit("")).alias("shown"))
+
+
 # SQL of two queries of the catalogue whose parts are stated here.
 SQL["rewrite_all"] = (
     _PASS.replace(f"translate({_DERIVED}, '{K._SUB[0]}', '{K._SUB[1]}') AS c", "text_layer AS c") + " SELECT page_key, c AS text FROM s7"
