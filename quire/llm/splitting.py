@@ -258,13 +258,15 @@ def pack(meter: Meter, node: Node, limit: int, lead: int | None = None) -> list[
     if not children:
         return _characters(meter, start, node.end, limit)
     out: list[tuple[int, int]] = []
-    held: list[int] | None = None if lead is None else [lead, lead]  # a group under way
+    held: list[int] | None = None if lead is None else [lead, node.start]  # a group under way
     bare = lead is not None  # it holds headings only
     for child in children:
-        if held and meter.count(held[0], child.end) <= limit:
+        # headings alone take no more than half a piece, so that text can follow
+        room = limit // 2 if held and bare and child.only_heading() else limit
+        if held and meter.count(held[0], child.end) <= room:
             held[1], bare = child.end, bare and child.only_heading()
             continue
-        if held and not bare:
+        if held and (not bare or child.only_heading()):  # headings too many for one piece stand for themselves
             out.append((held[0], held[1]))
             held = None
         before = held[0] if held else None
