@@ -406,7 +406,9 @@ class Reader:
             if not so_far:
                 paragraphs[-1] = line
                 continue
-            m = _CUT.search(so_far)
+            m = None
+            if so_far[-1] in HYPHENS:  # a cut word stands in the last word
+                m = _CUT.search(so_far, len(so_far) - len(so_far.rsplit(None, 1)[-1]))
             if m:
                 t = _LATIN.match(line)
                 if t and (m[2] in "\u00ad¬" or self.cut(m[1].split("’")[-1], t[0])):
@@ -427,7 +429,7 @@ class Reader:
                 if 0 < i < len(line) - 1 and (y := self.context(line[i - 1], m[0], line[i + 1])):
                     out[i] = y
             line = "".join(out)
-        if _HAS_LATIN.search(line):
+        if _HAS_LATIN.search(line) and any(map(self.undo, _LATIN.findall(line.lower()))):
             line = _LATIN.sub(self._word, line)
         return line
 
