@@ -288,15 +288,17 @@ class Model:
 
 
 def gold_levels(labels: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, level: the rounded mean of a document's valid grades.  Repeated
+    """doc_id, level: the mean of a document's valid grades, rounded.  A mean
+    half way between two levels speaks for neither and makes no row.  Repeated
     rows of a rater count once, null grades and grades off the scale never."""
-    return (
+    mean = (
         labels.where(F.col("grade").between(1, LEVELS) & F.col(doc_id).isNotNull())
         .select(doc_id, "rater", "grade")
         .distinct()
         .groupBy(doc_id)
-        .agg(F.floor(F.avg("grade") + 0.5).cast("int").alias("level"))
+        .agg(F.avg("grade").alias("mean"))
     )
+    return mean.where("mean <> floor(mean) + 0.5").select(doc_id, F.floor(F.col("mean") + 0.5).cast("int").alias("level"))
 
 
 def _item_blocks(items: DataFrame | None, text: str) -> list[list[str]]:

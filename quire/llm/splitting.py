@@ -343,15 +343,12 @@ def split_items(
 ) -> DataFrame:
     """Pieces of all items: key, kept columns, pieces (count), then PIECES.
 
-    Items within the limit pass as one piece.  Long and short items lie side
-    by side in a partition; no shuffle.  Kept columns may have any name but
-    those of the result, which raises.
+    Items within the limit pass as one piece; null and blank ones have none.
+    Long and short items lie side by side in a partition; no shuffle.  A kept
+    column that has the name of a result column comes as ``<name>_of_item``.
     """
     names = [f.strip().split()[0] for f in PIECES.split(",")] + ["pieces"]
-    clash = set(names) & {key, *keep}
-    if clash:
-        raise ValueError(f"rename these columns first: {sorted(clash)}")
-    kept = df.select(key, *keep)
+    kept = df.select(*[F.col(c).alias(f"{c}_of_item" if c in names else c) for c in (key, *keep)])
     columns_kept = kept.columns
 
     def run(batches):
@@ -371,7 +368,8 @@ def split_items(
             yield from out.to_batches()
 
     schema = T.StructType(kept.schema.fields + T.StructType.fromDDL("pieces int, " + PIECES).fields)
-    return spread(df.select(key, *keep, F.col(text).alias("text_of_item_"))).mapInArrow(run, schema)
+    rows = df.select(*[F.col(c).alias(k) for c, k in zip((key, *keep), columns_kept, strict=True)], F.col(text).alias("text_of_item_"))
+    return spread(rows).mapInArrow(run, schema)
 
 
 def oversized(df: DataFrame, key: str, text: str, limit: int = LIMIT) -> DataFrame:

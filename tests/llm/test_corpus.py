@@ -135,6 +135,12 @@ def test_mixture(spark, monkeypatch):
     a, b = (sorted(map(tuple, mixing.mixture(d, t)[0].collect())) for _ in range(2))
     assert a == b
     assert mixing.mixture(d.limit(0), t)[0].count() == 0
+    none = mixing.mixture(d, t.limit(0))
+    assert none.mixed.count() == 0 == mixing.mix_report(none).count()
+    odd = spark.createDataFrame([(None, "big", 0.5, 1), ("p", None, 0.5, 1), ("p", "big", -1.0, 1), ("p", "small", 0.5, 0)], t.schema)
+    assert mixing.mixture(d, odd).mixed.count() == 0
+    extra = d.withColumns({"tokens": F.lit(7), "topic": F.lit("x"), "plan": F.lit("q"), "copies": F.lit(9)})
+    assert sorted(map(tuple, mixing.mixture(extra, t).mixed.collect())) == a
 
 
 def test_topics(spark):
@@ -217,6 +223,12 @@ def test_items_in_blocks_mask_as_one(spark, monkeypatch):
     assert len(readlevel._item_blocks(it, "text")) == 6
 
 
+def test_gold_levels(spark):
+    rows = [(1, "a", 2), (1, "a", 2), (1, "b", 3), (2, "a", 3), (2, "b", 4), (2, "c", 4), (3, "a", None), (4, "a", 0), (5, None, 5), (None, "a", 1)]
+    lab = spark.createDataFrame(rows, "doc_id long, rater string, grade int")
+    assert {tuple(r) for r in readlevel.gold_levels(lab).collect()} == {(2, 4), (5, 5)}
+
+
 def test_held_out(spark):
     docs, labels = graded()
     d = spark.createDataFrame(docs, "doc_id long, text string")

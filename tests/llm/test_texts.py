@@ -82,8 +82,10 @@ def test_split_items(spark):
     got = splitting.split_items(df, "k", "content_text", ("section", "page")).collect()
     assert {r.k for r in got} == {1, 2} and all(r.token_count == splitting.tokens(r.content) <= 480 for r in got)
     assert {(r.section, r.page) for r in got if r.k == 1} == {("s", 3)}
-    with pytest.raises(ValueError):
-        splitting.split_items(df.withColumnRenamed("section", "content"), "k", "content_text", ("content",))
+    clash = splitting.split_items(df.withColumnRenamed("section", "content"), "k", "content_text", ("content", "page")).where("k = 2").first()
+    assert clash.content == "short" and clash.content_of_item is None and clash.page is None
+    same = splitting.split_items(df.select("k", F.col("content_text").alias("content")), "k", "content").where("k = 2").first()
+    assert same.content == "short" and same.pieces == 1
     assert splitting.split_items(df.limit(0), "k", "content_text").count() == 0
 
 
