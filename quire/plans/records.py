@@ -4,11 +4,14 @@ whole tables, so that every rule meets rows that keep and rows that break it."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import rewrite as R
 from ..functions import text as X
 from ..operators import audit, ingest, ledger, review, validate
+from ..session import checkpoint_dir
 from . import catalog as K
 from . import sqltext as S
 from .catalog import QUERIES, SQL, n, query  # noqa: F401
@@ -439,6 +442,18 @@ def retrieval_hits(t):
     return hits.select("chunk_key", "section", "page", "source_kind", "confidence", n(F.col("rank")).alias("rank"))
 
 
+@query(K.SQL["retrieval_topk"])
+def retrieval_indexed(t):
+    """The same ranking over an index that is written first."""
+    chunks = t("chunks")
+    spark = chunks.sparkSession
+    folder = f"{checkpoint_dir(spark)}/quire-index-{uuid.uuid4().hex}"
+    K.retrieval.write_index(chunks, folder)
+    scores = K.retrieval.bm25(*K.retrieval.read_index(spark, folder, K.QUESTION), K.retrieval.query_terms(spark, K.QUESTION))
+    hits = K.retrieval.top_k(chunks, scores, 20)
+    return hits.select("chunk_key", "path", "source_kind", "score", n(F.col("rank")).alias("rank"))
+
+
 # -- review -----------------------------------------------------------------------
 @query("""WITH s AS (SELECT source, count(*) FILTER (status = 'complete') AS done, count(*) FILTER (status = 'error') AS bad FROM documents GROUP BY source)
 SELECT source, CASE WHEN bad > 5 THEN NULL ELSE '- ready: ' || done || ' of x' || chr(10) || '| open | ' || bad || ' | y |' END AS text, CASE WHEN bad > 5 THEN '2' ELSE '' END AS failed FROM s""")

@@ -51,6 +51,15 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def _rename_once(spark: SparkSession, staged: str, path: str) -> None:
+    """A rename that raises if the name is taken."""
+    jvm, p = spark.sparkContext._jvm, _at(spark, path)[1]
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    context.rename(_at(spark, staged)[1], p, options)
+
+
 def create_once(spark: SparkSession, path: str, text: str) -> bool:
     """Makes a file appear whole, or not at all if one of that name is there.
 
@@ -69,12 +78,8 @@ def create_once(spark: SparkSession, path: str, text: str) -> bool:
             except FileExistsError:
                 return False
             return True
-        jvm = spark.sparkContext._jvm
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
-        options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
         try:
-            context.rename(_at(spark, staged)[1], p, options)
+            _rename_once(spark, staged, path)
         except Exception:
             if fs.exists(p):
                 return False

@@ -122,6 +122,15 @@ def test_a_file_is_created_once(spark, tmp_path):
     assert storage.read_text(spark, path) == str(made.index(True)) and storage.names(spark, f"file://{tmp_path}/c") == ["one.json"]
 
 
+def test_a_rename_never_overwrites(spark, tmp_path):
+    for n in (1, 2):
+        storage.write_text(spark, f"file://{tmp_path}/s{n}", str(n))
+    storage._rename_once(spark, f"file://{tmp_path}/s1", f"file://{tmp_path}/t")
+    with pytest.raises(Exception, match="(?i)exist"):
+        storage._rename_once(spark, f"file://{tmp_path}/s2", f"file://{tmp_path}/t")
+    assert storage.read_text(spark, f"file://{tmp_path}/t") == "1"
+
+
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "decimal(20,3)", "string", "double"])
 def test_watermarks_of_any_type(spark, tmp_path, kind):
     values = {"double": ["1.5", "2.25"], "decimal(20,3)": ["1.500", "2.250"]}.get(kind, ["2024-02-28 23:59:59.123456", "2024-02-29 00:00:00.000001"])
