@@ -40,9 +40,12 @@ def spread(df: DataFrame) -> DataFrame:
     Small tables often lie in one file with one row group, which is one task.
     Only a scan of under ``SPREAD_BYTES`` with too few partitions is shuffled;
     a larger one is left as Spark splits it (spark.sql.files.maxPartitionBytes).
+    What has been shuffled already stays as it is: to ask for its partitions
+    would run the shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 > cores:
+    shuffled = df._jdf.queryExecution().executedPlan().getClass().getSimpleName() == "AdaptiveSparkPlanExec"
+    if shuffled or df.rdd.getNumPartitions() * 2 > cores:
         return df
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return df if int(str(size)) >= SPREAD_BYTES else df.repartition(cores)

@@ -300,6 +300,10 @@ def test_session_folders(spark, monkeypatch):
     monkeypatch.setattr(session, "SPREAD_BYTES", 0)
     assert spread(wide).rdd.getNumPartitions() == 1
     assert checkpoint_dir(spark) == checkpoint_dir(spark)
+    monkeypatch.undo()
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    once = spread(spark.range(1000).selectExpr("id % 7 AS k").distinct())  # runs nothing
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before and once.count() == 7
 
 
 def test_comparisons_stream(spark, tmp_path):
