@@ -92,15 +92,22 @@ def edit_log(df: DataFrame, key: str, text: str, rules: dict[str, str]) -> DataF
     return logged(df, key, {name: marked(F.col(text), pattern) for name, pattern in rules.items()})
 
 
+def _staged(df: DataFrame, rules: str) -> tuple[DataFrame, list[tuple[str, int, str]]]:
+    """The text c0_ as each part of the rules finds it: c0_, c1_, ...; each is
+    made once from the one before.  And (rule, part, expression) of each."""
+    parts = [(name, k, pattern) for name in R.RULES if name in rules for k, (pattern, _, _) in enumerate(R.PATTERNS[name])]
+    for i, (name, k, pattern) in enumerate(parts):
+        c = F.col(f"c{i}_")
+        df = df.withColumn(f"c{i + 1}_", R.rule_b(c) if name == "B" else F.regexp_replace(c, pattern, R.PATTERNS[name][k][1]))
+    return df, parts
+
+
 def rewrite_log(df: DataFrame, key: str, text: str, rules: str = "ABCDEG") -> DataFrame:
     """key, rule, line, before, after, reason of every edit of the rewriting
     rules, in their order, each on the text that the one before leaves."""
-    steps, c = {}, F.col(text)
-    for name in (r for r in R.RULES if r in rules):
-        for n, (pattern, _, _) in enumerate(R.PATTERNS[name]):
-            steps[f"{name}{n}"] = marked(c, pattern)
-            c = F.regexp_replace(c, pattern, R.PATTERNS[name][n][1]) if name != "B" else R.rule_b(c)
-    log = logged(df, key, steps)
+    staged, parts = _staged(df.select(key, F.col(text).alias("c0_")), rules)
+    steps = {f"{name}{k}": marked(F.col(f"c{i}_"), pattern) for i, (name, k, pattern) in enumerate(parts)}
+    log = logged(staged, key, steps)
     after, reason = F.lit(None).cast("string"), F.lit(None).cast("string")
     for name, parts in R.PATTERNS.items():
         for n, (_, new, why) in enumerate(parts):
@@ -112,14 +119,12 @@ def rewrite_log(df: DataFrame, key: str, text: str, rules: str = "ABCDEG") -> Da
 
 def edit_totals(df: DataFrame, text: str, rules: str = "ABCDEG") -> DataFrame:
     """rule, edits: how often each rule of a whole pass changes the texts."""
-    counts, c = [], F.col(text)
-    for name in (r for r in R.RULES if r in rules):
-        n = F.lit(0)
-        for k, (pattern, new, _) in enumerate(R.PATTERNS[name]):
-            n = n + F.regexp_count(c, F.lit(pattern))
-            c = R.rule_b(c) if name == "B" else F.regexp_replace(c, pattern, new)
-        counts.append(F.struct(F.lit(name).alias("rule"), n.cast("long").alias("n")))
-    return df.select(F.inline(F.array(*counts))).groupBy("rule").agg(F.sum("n").alias("edits"))
+    staged, parts = _staged(df.select(F.col(text).alias("c0_")), rules)
+    counts: dict[str, Column] = {}
+    for i, (name, _, pattern) in enumerate(parts):
+        counts[name] = counts.get(name, F.lit(0)) + F.regexp_count(f"c{i}_", F.lit(pattern))
+    rows = staged.select(F.inline(F.array(*[F.struct(F.lit(name).alias("rule"), c.cast("long").alias("n")) for name, c in counts.items()])))
+    return rows.groupBy("rule").agg(F.sum("n").alias("edits"))
 
 
 def patch_once(c: Column, patches: list[tuple[str, Column]]) -> Column:
