@@ -214,7 +214,7 @@ def mixture(
 
     Documents without a source, or of a source a plan does not name or gives
     no share, take no part in it.  ``topic`` may be any column of documents;
-    else topics are learned (``topics.fit``).  Read by the driver are the plans
+    else topics are learned of all documents (``topics.learn``).  Read by the driver are the plans
     and the tokens of the cells: as many as the plans' sources times the
     language codes that documents have times the topics, whatever the number
     of documents.
@@ -227,9 +227,12 @@ def mixture(
         *([] if topic is None else [F.coalesce(topic.cast("string"), F.lit("none")).alias("topic")]),
     )
     keys = [c for c in labelled.columns if c != "text"]
-    model = topics.fit(labelled, encoder(vocabulary)) if topic is None else None
+    if topic is None:
+        _, sizes = topics.learn(topics.bags(labelled, encoder(vocabulary), keys))
+    else:
+        sizes = token_sizes(labelled, keys, "text", vocabulary)
     # sized once: the table is read for the cells, the draw and the report
-    sized = written(token_sizes(labelled, keys, "text", vocabulary, model), "sizes")
+    sized = written(sizes, "sizes")
     caps = spark.createDataFrame([(p, s, 1 if c is None else int(c)) for p, s, _, c in plans], "plan string, source string, cap int")
     named = sized.join(caps.select("source").distinct(), "source", "left_semi")
     cells = [tuple(r) for r in named.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens")).collect()]

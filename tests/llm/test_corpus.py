@@ -169,6 +169,43 @@ def test_topics(spark):
     assert {x.topic for x in mixing.token_sizes(d, ["doc_id", "lang"], model=topics.fit(d.limit(0), mixing.encoder())).collect()} == {"none"}
 
 
+def test_topics_are_of_all_documents(spark, monkeypatch):
+    from quire.llm import topics
+
+    r = random.Random(8)
+    themes = [WORDS[:5], WORDS[5:10], WORDS[10:]]
+    docs = [(i, ("en", "de", None)[i % 3 if i % 50 else 2], " ".join(r.choice(themes[i % 7 % 3]) + str(r.randrange(9)) for _ in range(14))) for i in range(6_000)]
+    docs = [*docs, (6_000, "en", None), (6_001, "en", "short"), docs[5], docs[5]]
+    d = spark.createDataFrame(docs, "doc_id long, lang string, text string")
+    model = topics.fit(d, mixing.encoder(), topics=3)
+    size, encode = mixing.encoder()()
+    ids = [encode(x[2]) for x in docs]
+    n = np.bincount(np.concatenate([np.array(sorted(set(x)), int) for x in ids]), minlength=size)
+    rarity = np.where(n > 1, np.log((len(docs) + 1) / (n + 1)), 0)
+    assert np.allclose(model.rarity, rarity, atol=1e-5)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    directions = np.random.default_rng(7).standard_normal((size, topics.WIDTH), np.float32) * rarity[:, None]
+    kept = [i for i, x in enumerate(ids) if len(x) >= topics.LEAST]
+    langs = np.array([docs[i][1] or "" for i in kept])
+    v = np.stack([unit(directions[sorted(set(ids[i]))].sum(0)) for i in kept])
+    assert len(kept) > 5_900
+    for x in ("en", "de"):
+        assert np.allclose(model.means[x], v[langs == x].mean(0), atol=1e-4)
+    v = unit(v - np.stack([v[langs == x].mean(0) if x else v.mean(0) for x in langs]))
+    near = (v @ model.centres.T).argmax(1)
+    for i, c in enumerate(model.centres):  # each centre is the mean of all documents next to it
+        assert np.allclose(c, unit(v[near == i].sum(0)), atol=1e-3)
+    assert sorted(np.bincount(near), reverse=True) == np.bincount(near).tolist()
+    sized = {(x.doc_id, x.lang, x.tokens, x.topic) for x in mixing.token_sizes(d, ["doc_id", "lang"], model=model).collect()}
+    for here in (0, 10_000):  # on the executors or on the driver
+        monkeypatch.setattr(topics, "HERE", here)
+        again, table = topics.learn(topics.bags(d.repartition(5), mixing.encoder(), ["doc_id", "lang"]), 3)
+        assert np.array_equal(again.rarity, model.rarity) and np.array_equal(again.centres, model.centres)
+        assert sorted(again.means) == sorted(model.means) and all(np.array_equal(again.means[x], model.means[x]) for x in model.means)
+        got = table.collect()
+        assert len(got) == len(docs) and {(x.doc_id, x.lang, x.tokens, x.topic) for x in got} == sized
+
+
 def test_sizes(spark):
     long = "word " * 60_000
     d = spark.createDataFrame([(1, "hello world"), (2, None), (3, ""), (4, long)], "k long, text string")
